@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import strip
 
 NUMBER = "decimal(18,4)"
-_SYMBOLS = "[€£¥$]"
+_SYMBOLS = "€£¥$"
+_LETTERS = string.ascii_letters
 
 
 def coerce_number(col: Column, on_error: float | None = 0, type_: str = NUMBER) -> Column:
@@ -28,27 +31,27 @@ def parse_money(col: Column) -> Column:
 
     Brackets negate, currency signs and letters are ignored, and the last separator is the decimal
     mark.  A lone comma is decimal when at most two digits follow it, otherwise it groups thousands.
+    Only plain string functions are used: this runs several times per statement line.
     """
     text = strip(col.cast("string"))
-    negative = text.startswith("(") & text.endswith(")")
-    body = F.when(negative, F.regexp_replace(text, r"^\(|\)$", "")).otherwise(text)
-    body = strip(F.regexp_replace(body, f"{_SYMBOLS}|[A-Za-z]", ""))
-
-    comma, point = F.lit(","), F.lit(".")
-    no_comma = F.replace(body, comma, F.lit(""))
-    comma_as_point = F.replace(F.replace(body, point, F.lit("")), comma, point)
-    has_both = body.contains(",") & body.contains(".")
-    decimal_comma = body.rlike(r"^[^,]*,[^,]{0,2}$")
+    opened, closed = text.startswith("("), text.endswith(")")
+    body = F.btrim(F.translate(text, _SYMBOLS + _LETTERS, ""), F.lit("() "))
+
+    no_comma = F.translate(body, ",", "")
+    comma_is_point = F.translate(F.translate(body, ".", ""), ",", ".")
+    after_comma, after_point = (F.length(F.substring_index(body, mark, -1)) for mark in (",", "."))
+    lone_comma = F.length(body) - F.length(no_comma) == 1
     plain = (
-        F.when(has_both & body.rlike(r",[^.]*$"), comma_as_point)
-        .when(has_both, no_comma)
-        .when(body.contains(",") & decimal_comma, comma_as_point)
+        F.when(~body.contains(","), body)
+        .when(body.contains("."), F.when(after_comma < after_point, comma_is_point).otherwise(no_comma))
+        .when(lone_comma & (after_comma <= 2), comma_is_point)
         .otherwise(no_comma)
     )
-    amount = F.coalesce(strip(plain).try_cast(NUMBER), F.lit(0).cast(NUMBER))
-    return F.when(negative, -amount).otherwise(amount).cast(NUMBER)
+    amount = F.coalesce(plain.try_cast(NUMBER), F.lit(0).cast(NUMBER))
+    sign = F.when(opened & closed, -1).when(opened | closed, 0).otherwise(1)
+    return F.coalesce((amount * sign).cast(NUMBER), F.lit(0).cast(NUMBER))
 
 
 def is_money_token(col: Column) -> Column:
     """Whether one blank-delimited token looks like an amount."""
-    return F.regexp_replace(col, _SYMBOLS, "").rlike(r"^\(?-?[\d.,]+\)?$")
+    return F.translate(col, _SYMBOLS, "").rlike(r"^\(?-?[\d.,]+\)?$")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerloom.operators import revenue, trends
 from ledgerloom.plans import stand_ins as t
+from ledgerloom.plans.cleaning import CLEANING
 
 
 def _on(build, *columns, **options):
@@ -57,4 +58,4 @@ TRENDS = {
     "yoy_monthly_lines": _events(trends.yoy_monthly_lines),
 }
 
-QUERIES = {**REVENUE, **TRENDS}
+QUERIES = {**CLEANING, **REVENUE, **TRENDS}

@@ -60,3 +60,13 @@ def spread_null_keys(key, *spread_by):
     """
     bucket = F.pmod(F.xxhash64(*spread_by), F.lit(4096)).cast("string")
     return F.coalesce(key, F.concat(F.lit("\u0000"), bucket))
+
+
+def computed_once(df: DataFrame, columns: dict) -> DataFrame:
+    """Add costly columns behind a one-row generator.
+
+    A later filter on such a column would otherwise be pushed below the projection, and with it a
+    second copy of the whole expression.  Filters do not move through a generator.
+    """
+    packed = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
+    return df.select("*", F.inline(packed))
