@@ -413,8 +413,8 @@ def _statement_fields(spark, folder):
 
 
 def _printed(col: str):
-    """Bracketed negatives and thousands marks, as statements print amounts."""
-    shown = F.format_number(F.abs(F.col(col)), 2)
+    """Bracketed negatives, as statements print amounts."""
+    shown = F.abs(F.col(col)).cast("string")
     return F.when(F.col(col) < 0, F.concat(F.lit("(€"), shown, F.lit(")"))).otherwise(shown)
 
 
@@ -425,7 +425,7 @@ def _data_line():
         "distributor",
         F.col("quantity").cast("string"),
         "region_code",
-        _printed("gross_local"),
+        F.format_number("gross_local", 2),
         _printed("received_local"),
         _printed("fee_local"),
         _printed("payable_local"),

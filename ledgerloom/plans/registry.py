@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.operators import revenue, trends
 from ledgerloom.plans import stand_ins as t
 from ledgerloom.plans.cleaning import CLEANING
+from ledgerloom.plans.matching import MATCHING
 
 
 def _on(build, *columns, **options):
@@ -58,4 +59,4 @@ TRENDS = {
     "yoy_monthly_lines": _events(trends.yoy_monthly_lines),
 }
 
-QUERIES = {**CLEANING, **REVENUE, **TRENDS}
+QUERIES = {**CLEANING, **MATCHING, **REVENUE, **TRENDS}

@@ -9,17 +9,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest dimension (in rows) that may be copied to every executor.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 500_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Counted, not estimated; the count stops at ``rows + 1``."""
+    return df.limit(rows + 1).count() <= rows
 
-    The count stops at ``max_rows + 1``.  A larger side is returned unhinted, so Spark plans a
-    shuffled join and AQE splits its skewed partitions.
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, counted: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast only if ``df`` has at most ``max_rows`` rows.
+
+    ``counted`` may name a frame that is cheaper to count and has at least as many rows.  A larger
+    side is returned unhinted, so Spark plans a shuffled join and AQE splits its skewed partitions.
+    """
+    return F.broadcast(df) if has_at_most(df if counted is None else counted, max_rows) else df
+
+
+def join_dimension(
+    df: DataFrame,
+    dimension: DataFrame,
+    name: str,
+    key,
+    counted: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROW_LIMIT,
+) -> DataFrame:
+    """Left join ``dimension`` on its column ``name`` against the expression ``key`` of ``df``.
+
+    A dimension of checked size is broadcast.  Beyond that the join shuffles: AQE splits hot keys,
+    and NULL keys, which would all meet in one task, are spread first.
     """
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    if has_at_most(dimension if counted is None else counted, max_rows):
+        return df.withColumn(name, key).join(F.broadcast(dimension), name, "left")
+    spread = spread_null_keys(key.cast("string"), *df.columns)
+    return df.withColumn(name, spread).join(dimension, name, "left")
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -1,6 +1,7 @@
 """DuckDB SQL that answers every registered query on the same tables, written independently of the Spark code."""
 
 from oracles.cleaning import ORACLES as _CLEANING
+from oracles.matching import ORACLES as _MATCHING
 from oracles.revenue import ORACLES as _REVENUE
 
-ORACLES: dict[str, str] = {**_CLEANING, **_REVENUE}
+ORACLES: dict[str, str] = {**_CLEANING, **_MATCHING, **_REVENUE}
