@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerloom.operators import revenue, trends
 from ledgerloom.plans import stand_ins as t
 from ledgerloom.plans.cleaning import CLEANING
+from ledgerloom.plans.filing import FILING
 from ledgerloom.plans.matching import MATCHING
 
 
@@ -59,4 +60,4 @@ TRENDS = {
     "yoy_monthly_lines": _events(trends.yoy_monthly_lines),
 }
 
-QUERIES = {**CLEANING, **MATCHING, **REVENUE, **TRENDS}
+QUERIES = {**FILING, **CLEANING, **MATCHING, **REVENUE, **TRENDS}
