@@ -7,6 +7,7 @@ from ledgerloom.plans import stand_ins as t
 from ledgerloom.plans.cleaning import CLEANING
 from ledgerloom.plans.filing import FILING
 from ledgerloom.plans.matching import MATCHING
+from ledgerloom.plans.reports import CHANNEL_JOBS
 
 
 def _on(build, *columns, **options):
@@ -60,4 +61,4 @@ TRENDS = {
     "yoy_monthly_lines": _events(trends.yoy_monthly_lines),
 }
 
-QUERIES = {**FILING, **CLEANING, **MATCHING, **REVENUE, **TRENDS}
+QUERIES = {**FILING, **CLEANING, **MATCHING, **REVENUE, **TRENDS, **CHANNEL_JOBS}
