@@ -5,6 +5,8 @@ Raw frames are all text.  ``catalog`` and ``rates`` are shared by all channels.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -216,10 +218,10 @@ def build_warehouse(facts: dict[str, DataFrame], catalog: DataFrame, path: str)
     """
     measures = {"fact_memberships": "net_earnings", "fact_shop": "net_sales"}
     spark = catalog.sparkSession
-    written = {}
-    for name, df in facts.items():
-        write_fact(df, f"{path}/{name}")
-        written[name] = (read_fact(spark, f"{path}/{name}"), measures.get(name, "royalty_amount_usd"))
+    # The tables do not depend on each other; a few writes at a time keep the executors busy.
+    with ThreadPoolExecutor(max_workers=4) as writers:
+        list(writers.map(lambda name: write_fact(facts[name], f"{path}/{name}"), facts))
     write_dimension(build_dimension(catalog), f"{path}/dim_catalog")
+    written = {n: (read_fact(spark, f"{path}/{n}"), measures.get(n, "royalty_amount_usd")) for n in facts}
     written["dim_catalog"] = (spark.read.parquet(f"{path}/dim_catalog"), None)
     return table_integrity(written)
