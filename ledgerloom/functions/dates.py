@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +16,27 @@ MIXED_FORMATS = (ISO, "yyyy-MM", "M/d/yyyy", "MMMM yyyy", "MMM yyyy")
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
+# How the letters of a format look in text; longer runs first.
+_SHAPES = (("yyyy", r"\d{4}"), ("MMMM", "[A-Za-z]{3,9}"), ("MMM", "[A-Za-z]{3}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"),
+           ("M", r"\d{1,2}"), ("d", r"\d{1,2}"))
+
+
+def _shape(fmt: str) -> str:
+    """Regular expression that every text in this format fits."""
+    letters = dict(_SHAPES)
+    pattern = "|".join(run for run, _ in _SHAPES)
+    return "^" + re.sub(pattern, lambda m: letters[m.group()], fmt) + "$"
+
+
 def parse_date(col: Column, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:
-    """First format that fits; text that fits none is NULL.  A format without a day means the 1st."""
+    """First format that fits; text that fits none is NULL.  A format without a day means the 1st.
+
+    A format is only tried on text of its shape: a failed parse costs far more than a pattern.
+    """
     text = strip(col.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in formats])
+    return F.coalesce(
+        *[F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f)).cast("date")) for f in formats]
+    )
 
 
 def month_number(col: Column) -> Column:

@@ -16,7 +16,7 @@ from ledgerloom.scale import durable
 def running_total(df: DataFrame, value: str, order: list[Column], width: str = "decimal(38,4)") -> DataFrame:
     """Add ``row_rank``, ``running`` and ``grand_total`` of ``value`` in the given total order.
 
-    ``order`` must be a total order.  The range partitioned rows are checkpointed, because range
+    ``order`` must be a total order.  The range partitioned rows are written once, because range
     bounds are sampled anew whenever the exchange runs and the partition number is used twice.
     """
     placed = durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))

@@ -14,6 +14,7 @@ from ledgerloom.functions import dates, identifiers, numbers, text
 from ledgerloom.operators import shape, statements
 from ledgerloom.plans import stand_ins as t
 from ledgerloom.plans.lookups import MARKETPLACE_CURRENCY, MARKETPLACE_REGION
+from ledgerloom.scale import use_all_cores
 from ledgerloom.sources.filenames import period_from_filename
 
 
@@ -390,19 +391,15 @@ def month_label(spark, folder):
 
 
 def _statement_fields(spark, folder):
-    lines = t.table(spark, folder, "lineitem")
-    suppliers = t.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    nations = t.table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.replace("n_name", F.lit("_"), F.lit(" zone ")).alias("country")
-    )
+    lines = use_all_cores(t.table(spark, folder, "lineitem"))
     gross = t.amount("l_extendedprice")
-    return lines.join(suppliers.join(nations, "s_nationkey"), "l_suppkey").select(
+    return lines.join(t.suppliers(spark, folder), "l_suppkey").select(
         "l_suppkey",
         "l_partkey",
         F.col("l_shipdate").cast("date").alias("sale_date"),
         F.when(F.col("l_returnflag") == "A", "Some Shop 24h").otherwise("Library").alias("distributor"),
         F.when(F.col("l_linestatus") == "F", -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
-        F.regexp_replace("country", r" zone \d+", " zone").alias("region_code"),
+        F.regexp_replace("n_name", r"_\d+", " zone").alias("region_code"),
         gross.alias("gross_local"),
         (gross - t.amount("l_tax")).cast("decimal(18,2)").alias("received_local"),
         t.amount("l_tax").alias("fee_local"),

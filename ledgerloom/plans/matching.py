@@ -154,12 +154,7 @@ def pool_summary(spark, folder):
 
 
 def _currency_lines(spark, folder):
-    lines = t.table(spark, folder, "lineitem")
-    nation = t.table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), t.currency_of(F.col("n_regionkey")).alias("currency")
-    )
-    suppliers = t.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    return lines.join(suppliers.join(nation, "s_nationkey"), "l_suppkey")
+    return t.table(spark, folder, "lineitem").join(t.suppliers(spark, folder), "l_suppkey")
 
 
 def pool_detail(spark, folder):

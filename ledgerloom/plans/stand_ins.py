@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.shape import channel_by_pattern, union_all
+from ledgerloom.scale import broadcast_if_small
 
 _PART = {"canonical_work_slug", "series", "edition_format", "book_identifier", "kenp_page_count", "display_title"}
 _NATION = {"region", "currency"}
@@ -54,6 +55,23 @@ def currency_of(region_key):
     return F.try_element_at(names, region_key + 1)
 
 
+def suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with nation, region and currency, broadcast when counted small.
+
+    Spark multiplies the sizes of joined inputs, so without the count this small side would look
+    larger than the facts and the facts would be the ones to move.
+    """
+    nation = table(spark, folder, "nation").select(
+        F.col("n_nationkey").alias("s_nationkey"), "n_name", F.col("n_regionkey").alias("region_no"),
+        currency_of(F.col("n_regionkey")).alias("currency"),
+    )
+    all_suppliers = table(spark, folder, "supplier")
+    placed = all_suppliers.join(F.broadcast(nation), "s_nationkey").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nation_no"), "s_name", "n_name", "region_no", "currency"
+    )
+    return broadcast_if_small(placed, counted=all_suppliers)
+
+
 def sales(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     """Sales lines; ``extra`` names the product, region or currency columns wanted."""
     unknown = set(extra) - _PART - _NATION - {"l_partkey"}
@@ -78,14 +96,8 @@ def sales(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
         wanted = [c for c in products.columns if c in extra]
         lines = lines.join(products.select(F.col("catalog_order").alias("l_partkey"), *wanted), "l_partkey")
     if _NATION & set(extra):
-        nation = table(spark, folder, "nation").select(
-            F.col("n_nationkey").alias("s_nationkey"),
-            F.col("n_name").alias("region"),
-            currency_of(F.col("n_regionkey")).alias("currency"),
-        )
-        suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        wanted = [c for c in ("region", "currency") if c in extra]
-        lines = lines.join(suppliers.join(nation, "s_nationkey").select("l_suppkey", *wanted), "l_suppkey")
+        lines = lines.join(suppliers(spark, folder), "l_suppkey").withColumnRenamed("n_name", "region")
+        lines = lines.drop("nation_no", "s_name", "region_no", *(_NATION - set(extra)))
     keep = [c for c in lines.columns if c != "l_suppkey" and (c != "l_partkey" or "l_partkey" in extra)]
     return lines.select(*keep)
 
@@ -153,14 +165,11 @@ def shop(spark: SparkSession, folder: str) -> DataFrame:
 def statements(spark: SparkSession, folder: str) -> DataFrame:
     """Audiobook statement lines; every supplier of nation 7 is a distributor without a name."""
     lines = table(spark, folder, "lineitem")
-    names = table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"),
-        F.when(F.col("s_nationkey") != 7, F.replace("s_name", F.lit("#"), F.lit(" No"))).alias("distributor"),
-    )
+    named = F.when(F.col("nation_no") != 7, F.replace("s_name", F.lit("#"), F.lit(" No")))
     rate = F.lit(0.25).cast("decimal(4,2)")
-    return lines.join(names, "l_suppkey").select(
+    return lines.join(suppliers(spark, folder), "l_suppkey").select(
         F.col("l_shipdate").cast("date").alias("sale_date"),
-        "distributor",
+        named.alias("distributor"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         amount("l_extendedprice").alias("gross_local"),
         (royalty() * rate).cast("decimal(18,4)").alias("royalty_amount_usd"),

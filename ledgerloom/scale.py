@@ -45,22 +45,28 @@ def join_dimension(
     return df.withColumn(name, spread).join(dimension, name, "left")
 
 
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread a plain file scan that yields fewer partitions than there are cores.
+
+    Reports often come as a few files that cannot be split, and parsing them is CPU-bound.  A scan
+    with enough partitions is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for durable intermediate data: ``spark.checkpoint.dir``.
 
     A local session without that setting (tests) gets a temporary folder; a cluster must name one,
     because a machine-local folder is lost with its executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = context.getCheckpointDir()
-    if not named:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
+        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
@@ -70,9 +76,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so later reads see one fixed copy of ``df``."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    Cuts the lineage: later uses see one fixed copy that survives lost executors, prune its columns
+    and know its size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread_null_keys(key, *spread_by):
