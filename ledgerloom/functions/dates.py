@@ -52,17 +52,19 @@ def parse_period_name(col: Column) -> Column:
     70 and later are 19xx, earlier ones 20xx.
     """
     text = strip(col)
-    month = month_number(F.regexp_extract(text, r"^([A-Za-z]{3})-\s*\d+\s*$", 1))
-    year = F.nullif(F.regexp_extract(text, r"^[A-Za-z]{3}-\s*(\d{1,4})\s*$", 1), F.lit("")).try_cast("int")
-    named = F.make_date(F.when(year < 100, year + 2000).otherwise(year), month, F.lit(1))
-    loose = parse_date(text)
-    short_year = F.year(loose)
-    fixed = (
-        F.when(short_year >= 1900, loose)
-        .when(short_year >= 70, F.add_months(loose, F.lit(1900 * 12)))
-        .otherwise(F.add_months(loose, F.lit(2000 * 12)))
-    )
-    return F.coalesce(named, fixed)
+    year = strip(F.substring_index(text, "-", -1)).try_cast("int")
+    first_day = F.make_date(F.when(year < 100, year + 2000).otherwise(year), month_number(F.substring(text, 1, 3)), F.lit(1))
+    named = F.when(text.rlike(r"^[A-Za-z]{3}-\s*\d{1,4}$"), first_day)
+
+    def this_era(date: Column) -> Column:
+        return (
+            F.when(F.year(date) >= 1900, date)
+            .when(F.year(date) >= 70, F.add_months(date, F.lit(1900 * 12)))
+            .otherwise(F.add_months(date, F.lit(2000 * 12)))
+        )
+
+    # The one-element array holds the parsed date, so it is parsed once.
+    return F.coalesce(named, F.transform(F.array(parse_date(text)), this_era)[0])
 
 
 def month_start(col: Column) -> Column:
