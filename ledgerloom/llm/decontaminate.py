@@ -13,6 +13,7 @@ paraphrases with words changed, left out or put in.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,15 @@ from ledgerloom.scale import durable
 BITS = 20
 RANK = 256
 POWER_ROUNDS = 2
-COSINE = 0.4
+COSINE = 0.5
 COVERED = 0.7
 ANSWER = 0.5
-STRIDE = 8
+#: Share of the documents (and least number of them) beyond which a term is common.
+COMMON, COMMON_LEAST = 0.05, 20
+#: Words of a block; windows are whole blocks.
+BLOCK = 8
+#: Words that are projected at a time.
+GROUP_WORDS = 1 << 15
 #: ASCII letters are lower-cased, other visible ASCII but digits separates words.
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() and not chr(c).isupper() else ord(chr(c).lower())
                if chr(c).isalpha() else 32 for c in range(256))
@@ -46,9 +52,11 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents per hashed term and number of documents, over the whole table."""
 
     def count(batch: pa.RecordBatch) -> dict:
-        totals = np.zeros(1 << BITS, dtype=np.int64)
-        for text in batch.column("text").to_pylist():
-            totals[np.unique(terms(words_of(text)))] += 1
+        split = [words_of(text) for text in batch.column("text").to_pylist()]
+        document = np.repeat(np.arange(len(split)), [len(words) for words in split])
+        both = np.sort(document << BITS | terms(list(chain.from_iterable(split))))
+        once = both[np.diff(both, prepend=-1) != 0] & ((1 << BITS) - 1)
+        totals = np.bincount(once, minlength=1 << BITS)
         used = np.flatnonzero(totals)
         return {"term": used, "n": totals[used]}
 
@@ -60,7 +68,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def inverse_frequencies(frequency: np.ndarray, total: int) -> np.ndarray:
-    return (np.log((total + 1) / (frequency + 1)) + 0.1).astype(np.float32)
+    """Weights of the hashed terms; terms of more than ``COMMON`` of the documents tell nothing and weigh 0."""
+    weights = np.log((total + 1) / (frequency + 1)) + 0.1
+    return np.where(frequency > max(COMMON * total, COMMON_LEAST), 0.0, weights).astype(np.float32)
 
 
 def test_vectors(term: np.ndarray, rank: int) -> np.ndarray:
@@ -72,6 +82,11 @@ def test_vectors(term: np.ndarray, rank: int) -> np.ndarray:
     return np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
 
 
+def unit(vector: np.ndarray) -> np.ndarray:
+    norm = np.sqrt(vector @ vector)
+    return vector / norm if norm > 0 else vector
+
+
 def item_vectors(items: DataFrame, idf) -> DataFrame:
     """Unit TF-IDF vector per item: ``item_id, terms, weights``; items without words are left out."""
 
@@ -80,10 +95,9 @@ def item_vectors(items: DataFrame, idf) -> DataFrame:
         for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found, n = np.unique(terms(words_of(text)), return_counts=True)
             if len(found):
-                weight = n * idf.value[found].astype(np.float64)
                 out["item_id"].append(item)
                 out["terms"].append(found)
-                out["weights"].append(weight / np.sqrt(weight @ weight))
+                out["weights"].append(unit(n * idf.value[found].astype(np.float64)))
         return out
 
     return map_batches(items, "item_id long, terms array<int>, weights array<double>", run)
@@ -146,64 +160,85 @@ def common_subsequence(item: list, part: list) -> list[bool]:
     return covered
 
 
-def _projector(model: dict):
-    """Candidates of a document: ``(item, from, to, cosine)`` in words."""
-    names, basis, idf = model["terms"], model["basis"], model["idf"]
-    row_of = np.full(1 << BITS, -1, dtype=np.int32)
-    row_of[names] = np.arange(len(names))
-    items, lengths, wide = model["vectors"], model["lengths"], model["windows"]
-
-    def candidates(ids: np.ndarray) -> list[tuple[int, int, int, float]]:
-        weight = idf[ids].astype(np.float64)
-        row = row_of[ids]
-        known = row >= 0
-        square = np.concatenate(([0.0], np.cumsum(weight**2)))
-        inside = np.concatenate(([0.0], np.cumsum(np.where(known, weight**2, 0.0))))
-        out = []
-        for width in wide:
-            start = np.arange(0, max(1, len(ids) - width + STRIDE), STRIDE)
-            end = np.minimum(start + width, len(ids))
-            norm = square[end] - square[start]
-            # The projection is no longer than the window's part in benchmark terms; twice that leaves room for
-            # terms that repeat within a window.
-            near = 2 * (inside[end] - inside[start]) >= COSINE**2 * norm
-            chosen = np.flatnonzero((lengths <= width) & (lengths > width // 2))
-            for s, e, n in zip(start[near].tolist(), end[near].tolist(), norm[near].tolist(), strict=True):
-                at = s + np.flatnonzero(known[s:e])
-                cosine = items[chosen] @ (weight[at] @ basis[row[at]]) / np.sqrt(max(n, 1e-9))
-                out += [(int(chosen[i]), s, e, float(cosine[i])) for i in np.flatnonzero(cosine >= COSINE)]
-        return out
+def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int, int, int, float]]:
+    """Candidates ``(document, item, from, to, cosine)``, in words, of the terms of several documents.
 
-    return candidates
+    The documents are laid out in blocks of ``BLOCK`` words with empty blocks between them, so that no window
+    sees two of them.  Blocks are summed once in latent space, windows are differences of running sums.
+    """
+    lengths = np.array([len(d) for d in documents])
+    gap = int(model["blocks"].max())
+    rooms = -(-lengths // BLOCK) + gap
+    first = np.cumsum(rooms) - rooms + gap
+    total = int(rooms.sum()) + gap
+    ids = np.concatenate(documents)
+    place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    block = np.repeat(first, lengths) + place // BLOCK
+    norm = np.bincount(block, weights=model["idf"][ids].astype(np.float64) ** 2, minlength=total)
+
+    row = model["row_of"][ids]
+    known = np.flatnonzero((row >= 0) & (model["idf"][ids] > 0))
+    sums = np.zeros((total + 1, model["latent"].shape[1]), dtype=np.float32)
+    if len(known):
+        cut = np.flatnonzero(np.diff(block[known], prepend=-1))
+        sums[block[known][cut] + 1] = np.add.reduceat(model["latent"][row[known]], cut, axis=0)
+    np.cumsum(sums, axis=0, out=sums)
+    norms = np.concatenate(([0.0], np.cumsum(norm)))
+    out = []
+    for width in np.unique(model["blocks"]).tolist():
+        items = np.flatnonzero(model["blocks"] == width)
+        length = np.sqrt(np.maximum(norms[width:] - norms[:-width], 1.0))
+        cosine = (sums[width:] - sums[:-width]) @ model["vectors"][items].T
+        window, item = np.nonzero(cosine >= COSINE * length[:, None])
+        owner = np.searchsorted(first - gap, window, side="right") - 1
+        # A window that begins in the gap before the next document belongs to that document.
+        owner += (window + width > first[np.minimum(owner + 1, len(first) - 1)]) & (owner + 1 < len(first)) & (
+            window >= first[owner] + rooms[owner] - gap)
+        begin = (window - first[owner]) * BLOCK
+        for d, i, s, w in zip(owner.tolist(), items[item].tolist(), begin.tolist(), range(len(window)), strict=True):
+            out.append((d, i, max(0, s), min(int(lengths[d]), s + width * BLOCK),
+                        float(cosine[window[w], item[w]] / length[window[w]])))
+    return out
+
+
+def _groups(sizes: list[int]) -> list[list[int]]:
+    """Consecutive documents of about ``GROUP_WORDS`` words; a longer one is a group of its own."""
+    groups, held = [[]], 0
+    for k, size in enumerate(sizes):
+        if held and held + size > GROUP_WORDS:
+            groups.append([])
+            held = 0
+        groups[-1].append(k)
+        held += size
+    return groups
 
 
 def _search(shared):
     def run(batch: pa.RecordBatch) -> dict:
         model = shared.value
-        candidates = _projector(model)
         names = ("doc_id", "row", "item_id", "cosine", "lcs_share", "answer_share", "start", "end")
         out: dict[str, list] = {n: [] for n in names}
-        for doc, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
-            words = words_of(text)
-            if not words:
-                continue
-            ids = terms(words)
-            best: dict[int, tuple] = {}
-            for item, start, end, cosine in candidates(ids):
-                wanted, answer = model["words"][item], model["answers"][item]
-                low, high = max(0, start - STRIDE), min(len(words), end + STRIDE)
-                # No subsequence is longer than what both have in common regardless of order.
-                common = sum((Counter(wanted) & Counter(words[low:high])).values())
-                if common < COVERED * len(wanted):
+        docs, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
+        split = [words_of(text) for text in batch.column("text").to_pylist()]
+        best: dict[tuple, tuple] = {}
+        for group in _groups([len(words) for words in split]):
+            group = [k for k in group if split[k]]
+            for at, item, start, end, cosine in _candidates(model, [terms(split[k]) for k in group]) if group else ():
+                k, wanted, answer = group[at], model["words"][item], model["answers"][item]
+                part = split[k][max(0, start - 2) : end + 2]
+                # No subsequence is longer than the item's words that the window has at all.
+                counts = model["counts"][item]
+                if sum(map(counts.get, counts.keys() & set(part))) < COVERED * len(wanted):
                     continue
-                covered = common_subsequence(wanted, words[low:high])
+                covered = common_subsequence(wanted, part)
                 share = sum(covered) / len(wanted)
-                asked = sum(covered[k] for k in answer) / max(1, len(answer)) if answer else 1.0
+                asked = sum(covered[w] for w in answer) / len(answer) if answer else 1.0
                 if share >= COVERED and asked >= ANSWER:
-                    best[item] = max(best.get(item, (0.0,)), (share, asked, cosine, start, end))
-            for item, (share, asked, cosine, start, end) in best.items():
-                for name, value in zip(names, (doc, row, model["items"][item], cosine, share, asked, start, end), strict=True):
-                    out[name].append(value)
+                    best[k, item] = max(best.get((k, item), (0.0,)), (share, asked, cosine, start, end))
+        for (k, item), (share, asked, cosine, start, end) in best.items():
+            values = (docs[k], rows[k], model["items"][item], cosine, share, asked, start, end)
+            for name, value in zip(names, values, strict=True):
+                out[name].append(value)
         return out
 
     return run
@@ -238,15 +273,17 @@ def build(docs: DataFrame, benchmark: DataFrame, max_items: int = 200_000) -> di
     latent = []
     for listed in words:
         found, n = np.unique(terms(listed), return_counts=True)
-        weight = n * idf[found].astype(np.float64)
-        latent.append((weight / np.sqrt(weight @ weight)) @ basis[np.searchsorted(names, found)])
+        latent.append(unit(n * idf[found].astype(np.float64)) @ basis[np.searchsorted(names, found)])
     lengths = np.array([len(w) for w in words])
-    # A window is up to twice as long as its items, so that it holds one whole wherever it starts.
-    windows = sorted({1 << int(np.ceil(np.log2(max(8, n)))) for n in lengths.tolist()})
+    row_of = np.full(1 << BITS, -1, dtype=np.int32)
+    row_of[names] = np.arange(len(names))
     return {
-        "terms": names, "basis": basis, "idf": idf, "vectors": np.array(latent), "lengths": np.maximum(lengths, 5),
-        "windows": windows, "items": [r["item_id"] for r in table], "words": words,
+        "row_of": row_of, "latent": (basis * idf[names][:, None]).astype(np.float32), "idf": idf,
+        "vectors": np.array(latent, dtype=np.float32), "items": [r["item_id"] for r in table], "words": words,
         "answers": [_answer(w, r["answer"]) for w, r in zip(words, table, strict=True)],
+        "counts": [Counter(w) for w in words],
+        # So many blocks hold an item wherever it starts.
+        "blocks": -(-(lengths - 1) // BLOCK) + 1,
     }
 
 

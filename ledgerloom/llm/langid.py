@@ -34,43 +34,62 @@ _LETTERS = bytes(c if c >= 128 else ord(chr(c).lower()) if chr(c).isalpha() else
 
 
 class Vocabulary:
-    """Trie over the normal pieces of a SentencePiece model; the word-start mark belongs to the piece."""
+    """Trie over the normal pieces of a SentencePiece model, as sorted (state, character) keys.
+
+    The word-start mark belongs to the piece.
+    """
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.trie: dict = {}
-        self.size = 0
+        children: dict[int, int] = {}
+        pieces, self.size = [-1], 0
         for i in range(model.get_piece_size()):
             if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
                 continue
-            node = self.trie
+            state = 0
             for character in model.id_to_piece(i):
-                node = node.setdefault(character, {})
-            node[""] = self.size
+                key = state << 21 | ord(character)
+                state = children.setdefault(key, len(pieces))
+                if state == len(pieces):
+                    pieces.append(-1)
+            pieces[state] = self.size
             self.size += 1
+        self.keys = np.array(sorted(children), dtype=np.int64)
+        self.states = np.array([children[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.pieces = np.array(pieces, dtype=np.int64)
 
     def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Edges (word, from, to, piece) of all segmentations; piece ``size`` is a single unknown character."""
-        edges: list[tuple[int, int, int, int]] = []
-        trie, unknown = self.trie, self.size
-        for number, word in enumerate(words):
-            length = len(word)
-            for start in range(length):
-                node, at, single = trie, start, False
-                while at < length:
-                    node = node.get(word[at])
-                    if node is None:
-                        break
-                    at += 1
-                    piece = node.get("")
-                    if piece is not None:
-                        edges.append((number, start, at, piece))
-                        single = single or at == start + 1
-                if not single:
-                    edges.append((number, start, start + 1, unknown))
-        return tuple(np.array(edges, dtype=np.int64).reshape(-1, 4).T)
+        """Edges (word, from, to, piece) of all segmentations; piece ``size`` is a single unknown character.
+
+        All starts of all words walk down the trie together, one character at a time.
+        """
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        first = np.cumsum(lengths) - lengths
+        begin = np.arange(len(letters))
+        live, state, depth = begin, np.zeros(len(letters), dtype=np.int64), 0
+        edges, single = [], np.zeros(len(letters), dtype=bool)
+        stop = (first + lengths)[word]
+        while len(live):
+            key = state << 21 | letters[live + depth]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = self.keys[at] == key
+            live, state, depth = live[found], self.states[at[found]], depth + 1
+            piece = self.pieces[state]
+            full = piece >= 0
+            edges.append((live[full], np.full(full.sum(), depth), piece[full]))
+            if depth == 1:
+                single[live[full]] = True
+            more = live + depth < stop[live]
+            live, state = live[more], state[more]
+        alone = begin[~single]
+        edges.append((alone, np.ones(len(alone), dtype=np.int64), np.full(len(alone), self.size)))
+        start, span, piece = (np.concatenate(x) for x in zip(*edges, strict=True))
+        number = word[start]
+        return number, start - first[number], start - first[number] + span, piece
 
 
 _HELD: dict[str, Vocabulary] = {}
@@ -93,31 +112,36 @@ def parts(word: str) -> list[str]:
     return [marked[i : i + LONGEST] for i in range(0, len(marked), LONGEST)]
 
 
+def _sweep(table: np.ndarray, rows: np.ndarray, to: np.ndarray, source: np.ndarray, factor: np.ndarray,
+           positions) -> np.ndarray:
+    """Fill ``table[row, to]`` with the sums of ``table[row, source] * factor``, one position after another."""
+    order = np.lexsort((rows, to))
+    rows, to, source, factor = rows[order], to[order], source[order], factor[order]
+    for at in positions:
+        low, high = np.searchsorted(to, (at, at + 1))
+        if low < high:
+            row = rows[low:high]
+            cut = np.flatnonzero(np.diff(row, prepend=-1))
+            table[row[cut], at] = np.add.reduceat(table[row, source[low:high]] * factor[low:high], cut, axis=0)
+    return table
+
+
 def forward(lattice, count: int, probability: np.ndarray) -> np.ndarray:
     """``alpha[word, position, language]``: summed probability of all segmentations up to the position."""
     word, start, end, piece = lattice
     width = int(end.max(initial=0)) + 1
     alpha = np.zeros((count, width, probability.shape[1]))
     alpha[:, 0] = 1.0
-    order = np.argsort(start, kind="stable")
-    bounds = np.searchsorted(start[order], np.arange(width + 1))
-    for at in range(width):
-        edge = order[bounds[at] : bounds[at + 1]]
-        np.add.at(alpha, (word[edge], end[edge]), alpha[word[edge], at] * probability[piece[edge]])
-    return alpha
+    return _sweep(alpha, word, end, start, probability[piece], range(1, width))
 
 
 def backward(lattice, lengths: np.ndarray, probability: np.ndarray) -> np.ndarray:
+    """``beta[word, position, language]``: summed probability of all segmentations from the position on."""
     word, start, end, piece = lattice
     width = int(end.max(initial=0)) + 1
     beta = np.zeros((len(lengths), width, probability.shape[1]))
     beta[np.arange(len(lengths)), lengths] = 1.0
-    order = np.argsort(-end, kind="stable")
-    bounds = np.searchsorted(-end[order], -np.arange(width, -1, -1))
-    for k in range(width):
-        edge = order[bounds[k] : bounds[k + 1]]
-        np.add.at(beta, (word[edge], start[edge]), beta[word[edge], end[edge]] * probability[piece[edge]])
-    return beta
+    return _sweep(beta, word, start, end, probability[piece], range(width - 1, -1, -1))
 
 
 def log_sums(held: Vocabulary, words: list[str], probability: np.ndarray) -> np.ndarray:

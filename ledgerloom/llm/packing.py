@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +30,10 @@ CAPACITY = 2048
 SLICES = 1024
 TOKENIZER = "byte_bpe_50k.tiktoken"
 END = 0
-_ENTRIES = 400_000
 
 
-class _Encoder(dict):
-    """Token ids of a text, remembered by the parts between single spaces.
-
-    A space after a visible character always starts a new pre-token, so those parts can be encoded on their
-    own.  Texts with a space after white space are encoded whole.
-    """
+class _Encoder:
+    """Token ids of a whole text from a file of byte-level BPE ranks; no string is special."""
 
     def __init__(self, path: str) -> None:
         import public_tokenizers as public
@@ -49,29 +43,15 @@ class _Encoder(dict):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, part: str) -> list[int]:
-        if len(self) >= _ENTRIES:
-            self.clear()
-        ids = self.encoding.encode_ordinary(part)
-        if len(part) <= 48:
-            self[part] = ids
-        return ids
-
     def ids(self, text: str) -> np.ndarray:
-        import re
-
-        if re.search(r"\s ", text):
-            return np.array(self.encoding.encode_ordinary(text), dtype="<u4")
-        first, *rest = text.split(" ")
-        parts = map(self.__getitem__, [" " + part for part in rest])
-        return np.fromiter(chain(self.encoding.encode_ordinary(first), chain.from_iterable(parts)), dtype="<u4")
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
 
 _ENCODERS: dict[str, _Encoder] = {}
 
 
 def encoder(path: str) -> _Encoder:
-    """One encoder per worker; ``path`` is a file of byte-level BPE ranks."""
+    """One encoder per worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = _Encoder(path)
     return _ENCODERS[path]

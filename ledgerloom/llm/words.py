@@ -17,28 +17,12 @@ from pyspark.sql.types import StructType
 
 import ledgerloom
 
-#: Entries a word cache may hold before it starts afresh.
-CACHE_ENTRIES = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordIds(dict):
-    """``word -> 64-bit id``; ids depend on the word alone, so a cache may be emptied at any time."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-
-_IDS = WordIds()
-
-
 def word_ids(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_IDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    """64-bit id of each word; hashing anew is faster than a look-up in a large cache."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
