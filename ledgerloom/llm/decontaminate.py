@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.words import id_and_bytes, map_batches, mix, word_ids
 from ledgerloom.scale import durable
 
-BITS = 20
+BITS = 18
 RANK = 256
 POWER_ROUNDS = 2
 COSINE = 0.5
@@ -61,9 +61,9 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         return {"term": used, "n": totals[used]}
 
     grouped = map_batches(id_and_bytes(docs).select("text"), "term int, n long", count).groupBy("term")
-    table = grouped.agg(F.sum("n").alias("n")).toPandas()  # at most 2**BITS rows
+    table = grouped.agg(F.sum("n").alias("n")).toArrow()  # at most 2**BITS rows
     frequency = np.zeros(1 << BITS, dtype=np.int64)
-    frequency[table["term"].to_numpy(dtype=np.int64)] = table["n"]
+    frequency[table["term"].to_numpy()] = table["n"].to_numpy()
     return frequency, docs.count()
 
 
@@ -133,9 +133,10 @@ def latent_space(vectors: DataFrame, rank: int = RANK, rounds: int = POWER_ROUND
             .groupBy("term").agg(F.transform(F.sort_array(F.collect_list(F.struct("column", "value"))),
                                              lambda x: x["value"]).alias("sums"))
         )
-        rows = added.toPandas()
+        rows = added.toArrow()
         basis = np.zeros_like(basis)
-        basis[rows["term"].to_numpy(dtype=np.int64)] = np.stack(rows["sums"].to_numpy())
+        flat = rows["sums"].combine_chunks().flatten().to_numpy()
+        basis[rows["term"].to_numpy()] = flat.reshape(-1, basis.shape[1])
     return names, np.linalg.qr(basis)[0]
 
 

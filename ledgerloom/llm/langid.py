@@ -224,9 +224,10 @@ def fit(training: DataFrame, path: str, fit_rows: int = FIT_ROWS, rounds: int =
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(probability)
         sums = map_batches(counts, "piece long, lang string, expected double", _expected(path, languages, shared))
-        rows = sums.groupBy("piece", "lang").agg(F.sum("expected").alias("expected")).toPandas()
+        rows = sums.groupBy("piece", "lang").agg(F.sum("expected").alias("expected")).toArrow()
         expected = np.zeros((size + 1, len(languages)))
-        expected[rows["piece"].to_numpy(), [languages.index(x) for x in rows["lang"]]] = rows["expected"]
+        language = [languages.index(x) for x in rows["lang"].to_pylist()]
+        expected[rows["piece"].to_numpy(), language] = rows["expected"].to_numpy()
         expected = expected[:size] + 0.01
         probability = np.vstack([expected / expected.sum(axis=0), np.full((1, len(languages)), UNKNOWN)])
     prior = np.log(np.array([seen[k] for k in languages]) / total)

@@ -117,13 +117,14 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
     """Model from ``text`` (bytes) and ``label`` (0 or 1).  Without both classes it holds a constant only."""
     spark = training.sparkSession
     grams = map_batches(training, "feature long, n0 long, n1 long", _counts)
-    table = grams.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    table = grams.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     seen = {r["label"]: r["n"] for r in training.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if seen.keys() != {0, 1}:
         total = sum(seen.values())
         return {"constant": (seen.get(1, 0) + 1) / (total + 2)}
     n0, n1 = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    n0[table["feature"]], n1[table["feature"]] = table["n0"], table["n1"]
+    used = table["feature"].to_numpy()
+    n0[used], n1[used] = table["n0"].to_numpy(), table["n1"].to_numpy()
     ratios = log_ratios(n0, n1)
     shared = spark.sparkContext.broadcast(ratios)
 
