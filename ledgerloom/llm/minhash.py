@@ -135,8 +135,12 @@ def _verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: in
     return map_batches(likely.join(right, "b").join(left, "a"), "u long, v long", _linked(percent))
 
 
-def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs still to be compared, from buckets that are not yet within one component."""
+def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` between components that share a bucket, confirmed on full sets within the task.
+
+    A task emits a link only if it joins parts that its block has not joined yet, so links stay in proportion
+    to the block's rows however many pairs it compares.
+    """
     labelled = members.where("members > 2").join(
         labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
     )
@@ -154,7 +158,11 @@ def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataF
         F.ceil((F.col("all") - F.col("top.size")) / BLOCK).cast("int").alias("queries"),
         F.ceil(F.col("all") / BLOCK).cast("int").alias("chunks"),
     )
-    rows = open_rows.join(largest, "key").join(sketches.select("doc_id", "sketch"), "doc_id")
+    held = durable(
+        texts.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        .join(sketches.select("doc_id", "sketch"), "doc_id")
+    )
+    rows = open_rows.join(largest, "key").join(held, "doc_id")
     place = F.xxhash64("doc_id", "key")
     query = rows.where("component != main").select(
         "*", F.lit(True).alias("query"), F.pmod(place, F.col("queries")).alias("q"),
@@ -169,21 +177,41 @@ def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataF
         import pandas as pd
 
         asked, all_rows = group[group["query"]], group[~group["query"]]
-        out = []
+        out, part, sets = [], {}, {}
+
+        def root(x):
+            while part.setdefault(x, x) != x:
+                part[x] = part[part[x]]
+                x = part[x]
+            return x
+
+        def full(doc, text):
+            if doc not in sets:
+                sets[doc] = shingles(bytes(text))
+            return sets[doc]
+
         if len(asked) and len(all_rows):
             matrix = np.frombuffer(b"".join(all_rows["sketch"]), dtype=np.uint8).reshape(len(all_rows), -1)
-            ids, parts = all_rows["doc_id"].to_numpy(), all_rows["component"].to_numpy()
-            for doc, part, data, leader in zip(
-                asked["doc_id"], asked["component"], asked["sketch"], asked["leader"], strict=True
-            ):
-                near = estimate(matrix, np.frombuffer(data, dtype=np.uint8)) >= ESTIMATE_FLOOR
-                near &= (parts != part) & (ids != leader)
-                out += [(min(doc, x), max(doc, x)) for x in ids[near].tolist() if doc != leader]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    columns = ["key", "doc_id", "leader", "component", "sketch", "query", "q", "c"]
+            ids, parts, data = (all_rows[c].to_numpy() for c in ("doc_id", "component", "text"))
+            columns = ("doc_id", "component", "sketch", "text", "leader")
+            for doc, own, sketched, text, leader in zip(*(asked[c] for c in columns), strict=True):
+                near = estimate(matrix, np.frombuffer(sketched, dtype=np.uint8))
+                for k in np.argsort(-near, kind="stable"):
+                    if near[k] < ESTIMATE_FLOOR:
+                        break
+                    other = int(ids[k])
+                    if leader in (doc, other) or root(own) == root(parts[k]):
+                        continue
+                    left, right = full(doc, text), full(other, data[k])
+                    common = len(np.intersect1d(left, right, assume_unique=True))
+                    if 100 * common >= percent * (len(left) + len(right) - common):
+                        part[root(own)] = root(parts[k])
+                        out.append((min(doc, other), max(doc, other)))
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+
+    columns = ["key", "doc_id", "leader", "component", "sketch", "text", "query", "q", "c"]
     together = query.select(*columns).union(every.select(*columns))
-    return together.groupBy("key", "q", "c").applyInPandas(compare, "a long, b long").distinct()
+    return together.groupBy("key", "q", "c").applyInPandas(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -209,9 +237,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     pairs = members.where("doc_id != leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     edges = durable(_verify(pairs.distinct(), reps, texts, percent))
     labels = durable(connected_components(edges))
-    pairs = durable(_blocks(members, labels, reps))
-    if not pairs.isEmpty():
-        more = _verify(pairs, reps, texts, percent)
+    more = durable(_blocks(members, labels, reps, texts, percent))
+    if not more.isEmpty():
         labels = durable(connected_components(durable(edges.union(more))))
 
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
