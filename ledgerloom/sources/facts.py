@@ -12,8 +12,11 @@ def write_fact(df: DataFrame, path: str, date: str = "sale_date", mode: str = "o
     """Write a fact by month and return the rows written; the default rebuilds the table.
 
     Rows are brought together by month and spread by a hash inside it, so a month becomes a few
-    files of a sensible size and a month with very many rows does not end in one task.
+    files of a sensible size and a month with very many rows does not end in one task.  An empty
+    frame writes nothing and leaves what is there untouched.
     """
+    if df.isEmpty():
+        return 0
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("n")).withColumn("period", period(F.col(date)))
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
@@ -22,6 +25,8 @@ def write_fact(df: DataFrame, path: str, date: str = "sale_date", mode: str = "o
 
 
 def write_dimension(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    if df.isEmpty():
+        return 0
     written = Observation()
     df.observe(written, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
     return written.get["n"]
