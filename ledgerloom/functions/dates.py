@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import strip
 
 ISO = "yyyy-MM-dd"
-MIXED_FORMATS = (ISO, "yyyy-MM", "M/d/yyyy", "MMMM yyyy", "MMM yyyy")
+MIXED_FORMATS = (
+    ISO, "yyyy-MM", "M/d/yyyy", "MMMM yyyy", "MMM yyyy", "yyyy/MM/dd", "M/d/yy", "d-MMM-yyyy", "MMMM d, yyyy", "MMM d, yyyy"
+)
 
 # fixed values: month abbreviations
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -18,7 +20,9 @@ MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 
 # How the letters of a format look in text; longer runs first.
 _SHAPES = (("yyyy", r"\d{4}"), ("MMMM", "[A-Za-z]{3,9}"), ("MMM", "[A-Za-z]{3}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"),
-           ("M", r"\d{1,2}"), ("d", r"\d{1,2}"))
+           ("yy", r"\d{2}"), ("M", r"\d{1,2}"), ("d", r"\d{1,2}"))
+# A time of day behind a date, as workbook cells carry it.
+_TIME_PART = r"(?i)[T\s]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([AP]M)?(Z|[+-]\d{2}:?\d{2})?$"
 
 
 def _shape(fmt: str) -> str:
@@ -31,12 +35,19 @@ def _shape(fmt: str) -> str:
 def parse_date(col: Column, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:
     """First format that fits; text that fits none is NULL.  A format without a day means the 1st.
 
+    A time of day behind the date is dropped.  A two-digit year from 70 on is 19xx, an earlier one 20xx.
     A format is only tried on text of its shape: a failed parse costs far more than a pattern.
     """
     text = strip(col.cast("string"))
-    return F.coalesce(
-        *[F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f)).cast("date")) for f in formats]
-    )
+    text = F.when(text.contains(":"), F.regexp_replace(text, _TIME_PART, "")).otherwise(text)
+
+    def parsed(fmt: str) -> Column:
+        date = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
+        if "yy" in fmt and "yyyy" not in fmt:
+            date = F.when(F.year(date) >= 2070, F.add_months(date, F.lit(-1200))).otherwise(date)
+        return F.when(text.rlike(_shape(fmt)), date)
+
+    return F.coalesce(*[parsed(f) for f in formats])
 
 
 def month_number(col: Column) -> Column:

@@ -29,6 +29,10 @@ STRICT = {'"=""1234567890123"" "': "1234567890123", '="1234567890"': "1234567890
           "9781234567890.0": None, "'1234567890'": "1234567890"}
 PERIODS = {"MAY-26": dt.date(2026, 5, 1), "apr-2025": dt.date(2025, 4, 1), None: None, "XYZ-1": None,
            "2024-03": dt.date(2024, 3, 1), "JAN-XX": None, " DEC-05 ": dt.date(2005, 12, 1)}
+DATES = {"2024-01-05 00:00:00": dt.date(2024, 1, 5), "2024-01-05T23:59:59.5Z": dt.date(2024, 1, 5), "1/5/24": dt.date(2024, 1, 5),
+         "1/5/99": dt.date(1999, 1, 5), "5-Jan-2024": dt.date(2024, 1, 5), "January 5, 2024": dt.date(2024, 1, 5),
+         "Jan 5, 2024": dt.date(2024, 1, 5), "2024/01/05": dt.date(2024, 1, 5), "1/5/2024 3:04 PM": dt.date(2024, 1, 5),
+         "2024-01": dt.date(2024, 1, 1), "Total": None, "": None, None: None, "2024-13-05": None}
 BINDINGS = {"Cloth": "hardcover", "Perfectbound (Trade Paper": "paperback", "Cardboard book": "board_book", None: "unknown",
             "hard paper": "hardcover", "Wire-O": "spiral_bound", "Digital": "ebook", "??": "unknown", "Case Laminate": "hardcover"}
 LONG_TITLES = {"Salt & Iron: A Novel (Book 2)": "salt and iron", "A (x) & B": "a and b", None: None, "  Plain ": "plain"}
@@ -49,6 +53,7 @@ SLUGS = {"fallen_gods": "Fallen Gods", "(Unmatched)": "(Unmatched)", "": "", Non
         (identifiers.normalize_isbn, LOOSE),
         (lambda c: identifiers.normalize_isbn(c, True), STRICT),
         (dates.parse_period_name, PERIODS),
+        (dates.parse_date, DATES),
         (text.classify_binding, BINDINGS),
         (lambda c: text.clean_title(c, True), LONG_TITLES),
         (text.format_compact, COMPACT),
@@ -57,7 +62,7 @@ SLUGS = {"fallen_gods": "Fallen Gods", "(Unmatched)": "(Unmatched)", "": "", Non
         (dates.month_label, LABELS),
         (text.prettify_slug, SLUGS),
     ],
-    ids=["money", "identifier", "isbn", "strict isbn", "period", "binding", "title", "compact", "usd", "market", "label", "slug"],
+    ids=["money", "identifier", "isbn", "strict isbn", "period", "date", "binding", "title", "compact", "usd", "market", "label", "slug"],
 )
 def test_rules(spark, expression, cases):
     got = one(spark, expression, *cases)
@@ -90,6 +95,9 @@ def test_file_names(spark):
         "wc-after-2024-01-01_before-2024-01-31.csv": ("2024-01-01", "2024-01-31"),
         "January_2024.csv": ("2024-01-01", "2024-01-31"),
         "Sept_2024.csv": (None, None),
+        "royaltiesMAY_2024_final.csv": ("2024-05-01", "2024-05-31"),
+        "Jan_x_Feb_2023.csv": ("2023-02-01", "2023-02-28"),
+        "X_Jan_20.xlsx": (None, None),
         "export.csv": (None, None),
         "X_Foo_2021.xls": (None, None),
     }
