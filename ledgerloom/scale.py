@@ -45,16 +45,6 @@ def join_dimension(
     return df.withColumn(name, spread).join(dimension, name, "left")
 
 
-def use_all_cores(scan: DataFrame) -> DataFrame:
-    """Spread a plain file scan that yields fewer partitions than there are cores.
-
-    Reports often come as a few files that cannot be split, and parsing them is CPU-bound.  A scan
-    with enough partitions is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for durable intermediate data: ``spark.checkpoint.dir``.
 

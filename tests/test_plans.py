@@ -17,7 +17,7 @@ def plan(df, kind="executedPlan"):
     return getattr(df._jdf.queryExecution(), kind)().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(entry.QUERIES) - HEAVY))
 def test_no_pairwise_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text
