@@ -1,7 +1,8 @@
 """Entity resolution: identifiers first, then titles contained in names, then similar titles.
 
 Titles are matched on distinct spellings only, through equi-joins on text fragments that every
-true match must share.  No step compares all titles with all names.
+true match must share.  Contained titles meet few names that way.  Similar titles share a letter, which
+loses no match but is not selective: the join may emit more rows than titles times spellings.
 """
 
 from __future__ import annotations
