@@ -11,16 +11,15 @@ from ledgerloom.functions.dates import period
 def write_fact(df: DataFrame, path: str, date: str = "sale_date", mode: str = "overwrite") -> int:
     """Write a fact by month and return the rows written; the default rebuilds the table.
 
-    Rows are brought together by month and spread by a hash inside it, so a month becomes a few
-    files of a sensible size and a month with very many rows does not end in one task.  An empty
-    frame writes nothing and leaves what is there untouched.
+    Rows are brought together by month, and AQE splits a month by its measured size, so small months
+    become one file and a month with very many rows, equal ones too, does not end in one task.  An
+    empty frame writes nothing and leaves what is there untouched.
     """
     if df.isEmpty():
         return 0
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("n")).withColumn("period", period(F.col(date)))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    rows.repartition("period", spread).write.mode(mode).partitionBy("period").parquet(path)
+    rows.hint("rebalance", F.col("period")).write.mode(mode).partitionBy("period").parquet(path)
     return written.get["n"]
 
 

@@ -2,6 +2,8 @@
 
 import datetime
 
+from pyspark.sql import functions as F
+
 from ledgerloom.sources.facts import read_fact, write_fact
 
 
@@ -15,3 +17,16 @@ def test_empty_over_full(spark, tmp_path):
     assert write_fact(rows.limit(0), path) == 0
     assert read_fact(spark, path).count() == 3
     assert read_fact(spark, path, start="2024-02-01").count() == 1
+
+
+def test_a_hot_month_of_equal_rows_is_split(spark, tmp_path):
+    day = F.lit("2024-03-05").cast("date")
+    rows = spark.range(200_000, numPartitions=8).select(day.alias("sale_date"), F.lit("x" * 20).alias("title"))
+    path = str(tmp_path / "hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        assert write_fact(rows, path) == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "hot" / "period=2024-03").glob("*.parquet"))) > 1
+    assert read_fact(spark, path).count() == 200_000
