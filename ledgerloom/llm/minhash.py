@@ -135,11 +135,91 @@ def _verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: in
     return map_batches(likely.join(right, "b").join(left, "a"), "u long, v long", _linked(percent))
 
 
+def _hopeful(percent: int):
+    def run(cell: pa.Table) -> pa.Table:
+        """Rows of the cell in at least one pair that only the full sets can decide, and on which side."""
+        asked, listed = cell.filter(cell["asked"]), cell.filter(cell["listed"])
+        key, leader = cell["key"][0].as_py(), cell["leader"][0].as_py()
+        own_id, own_part, own_size = (asked[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        ids, parts, sizes = (listed[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
+        own_sketch, sketches = (
+            np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=np.uint8).reshape(len(t), -1) for t in (asked, listed)
+        )
+        own_bands, bands = (
+            t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t in (asked, listed)
+        )
+        asks, meets = np.zeros(len(asked), dtype=bool), np.zeros(len(listed), dtype=bool)
+        for i in range(len(asked)):
+            if own_id[i] == leader:
+                continue
+            least, most = np.minimum(sizes, own_size[i]), np.maximum(sizes, own_size[i])
+            others = np.flatnonzero((parts != own_part[i]) & (ids != leader) & (100 * least >= percent * most))
+            others = others[estimate(sketches[others], own_sketch[i]) >= ESTIMATE_FLOOR]
+            if len(others):
+                first = (bands[others] == own_bands[i]).argmax(axis=1)
+                others = others[own_bands[i][first] == key]
+                asks[i] |= len(others) > 0
+                meets[others] = True
+        columns = ["key", "q", "c", "doc_id", "component"]
+        sides = [
+            side.filter(pa.array(mask)).select(columns).append_column("asks", pa.array(np.full(mask.sum(), name)))
+            for side, mask, name in ((asked, asks, True), (listed, meets, False))
+        ]
+        return pa.concat_tables(sides)
+
+    return run
+
+
+def _confirmed(percent: int):
+    def run(cell: pa.Table) -> pa.Table:
+        """Links of the cell on full sets; only those that join parts not joined yet."""
+        part: dict[int, int] = {}
+
+        def root(x):
+            while part.setdefault(x, x) != x:
+                part[x] = part[part[x]]
+                x = part[x]
+            return x
+
+        sets = [np.frombuffer(data, dtype=np.uint64) for data in cell["shingles"].to_pylist()]
+        ids, parts, asks = (cell[c].to_pylist() for c in ("doc_id", "component", "asks"))
+        queries = [i for i, one in enumerate(asks) if one]
+        listed = [i for i, one in enumerate(asks) if not one]
+        out: list[tuple[int, int]] = []
+        if queries and listed:
+            sizes = np.array([len(one) for one in sets], dtype=np.int64)
+            numbered = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+            words = np.concatenate([numbered[k] for k in listed])
+            starts = np.concatenate([[0], np.cumsum(sizes[listed])[:-1]])
+            flags = np.zeros(max(int(n.max()) for n in numbered) + 1, dtype=np.int32)
+            for i in queries:
+                flags[numbered[i]] = 1
+                common = np.add.reduceat(flags[words], starts).astype(np.int64)
+                flags[numbered[i]] = 0
+                linked = 100 * common >= percent * (sizes[i] + sizes[listed] - common)
+                for k in np.flatnonzero(linked):
+                    other = listed[k]
+                    if root(parts[i]) != root(parts[other]):
+                        part[root(parts[i])] = root(parts[other])
+                        out.append((min(ids[i], ids[other]), max(ids[i], ids[other])))
+        return pa.table({"u": pa.array([u for u, _ in out], pa.int64()), "v": pa.array([v for _, v in out], pa.int64())})
+
+    return run
+
+
+def _sets(batch: pa.RecordBatch) -> dict:
+    texts = batch.column("text").to_pylist()
+    return {"doc_id": batch.column("doc_id"), "shingles": [shingles(text).tobytes() for text in texts]}
+
+
 def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links ``(u, v)`` between components that share a bucket, confirmed on full sets within the task.
 
-    A task emits a link only if it joins parts that its block has not joined yet, so links stay in proportion
-    to the block's rows however many pairs it compares.
+    A cell holds at most ``BLOCK`` asking and ``BLOCK`` listed members of a bucket.  Cells first see sketches,
+    band keys and set sizes only: a pair needs the full sets unless its sizes alone exclude a link, its sketches
+    are far apart, or it also shares an earlier band, whose bucket decides it.  Full sets are read for the
+    members left.  A task emits a link only if it joins parts that its cell has not joined yet, so links stay
+    in proportion to the cell's rows however many pairs it compares.
     """
     labelled = members.where("members > 2").join(
         labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
@@ -158,60 +238,35 @@ def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: D
         F.ceil((F.col("all") - F.col("top.size")) / BLOCK).cast("int").alias("queries"),
         F.ceil(F.col("all") / BLOCK).cast("int").alias("chunks"),
     )
-    held = durable(
-        texts.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        .join(sketches.select("doc_id", "sketch"), "doc_id")
-    )
-    rows = open_rows.join(largest, "key").join(held, "doc_id")
     place = F.xxhash64("doc_id", "key")
-    query = rows.where("component != main").select(
-        "*", F.lit(True).alias("query"), F.pmod(place, F.col("queries")).alias("q"),
-        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"),
+    rows = open_rows.join(largest, "key").withColumn("outside", F.col("component") != F.col("main"))
+    own = ["key", "doc_id", "leader", "component"]
+    q, c = F.pmod(place, F.col("queries")).cast("int"), F.pmod(place, F.col("chunks")).cast("int")
+    small, no, yes = F.col("chunks") == 1, F.lit(False), F.lit(True)
+    # A bucket of one cell sends each member once, in both roles.
+    cells = rows.where(small).select(
+        *own, F.lit(0).alias("q"), F.lit(0).alias("c"), F.col("outside").alias("asked"), yes.alias("listed")
     )
-    every = rows.select(
-        "*", F.lit(False).alias("query"), F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("q"),
-        F.pmod(place, F.col("chunks")).alias("c"),
+    asking = rows.where(~small & F.col("outside")).select(
+        *own, q.alias("q"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"),
+        yes.alias("asked"), no.alias("listed"),
     )
-
-    def compare(group):
-        import pandas as pd
-
-        asked, all_rows = group[group["query"]], group[~group["query"]]
-        out, part, sets = [], {}, {}
-
-        def root(x):
-            while part.setdefault(x, x) != x:
-                part[x] = part[part[x]]
-                x = part[x]
-            return x
-
-        def full(doc, text):
-            if doc not in sets:
-                sets[doc] = shingles(bytes(text))
-            return sets[doc]
-
-        if len(asked) and len(all_rows):
-            matrix = np.frombuffer(b"".join(all_rows["sketch"]), dtype=np.uint8).reshape(len(all_rows), -1)
-            ids, parts, data = (all_rows[c].to_numpy() for c in ("doc_id", "component", "text"))
-            columns = ("doc_id", "component", "sketch", "text", "leader")
-            for doc, own, sketched, text, leader in zip(*(asked[c] for c in columns), strict=True):
-                near = estimate(matrix, np.frombuffer(sketched, dtype=np.uint8))
-                for k in np.argsort(-near, kind="stable"):
-                    if near[k] < ESTIMATE_FLOOR:
-                        break
-                    other = int(ids[k])
-                    if leader in (doc, other) or root(own) == root(parts[k]):
-                        continue
-                    left, right = full(doc, text), full(other, data[k])
-                    common = len(np.intersect1d(left, right, assume_unique=True))
-                    if 100 * common >= percent * (len(left) + len(right) - common):
-                        part[root(own)] = root(parts[k])
-                        out.append((min(doc, other), max(doc, other)))
-        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
-
-    columns = ["key", "doc_id", "leader", "component", "sketch", "text", "query", "q", "c"]
-    together = query.select(*columns).union(every.select(*columns))
-    return together.groupBy("key", "q", "c").applyInPandas(compare, "u long, v long").distinct()
+    listing = rows.where(~small).select(
+        *own, F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("q"), c.alias("c"),
+        no.alias("asked"), yes.alias("listed"),
+    )
+    needed = durable(sketches.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi"))
+    cells = cells.union(asking).union(listing).join(needed, "doc_id")
+    wanted = durable(
+        cells.groupBy("key", "q", "c").applyInArrow(
+            _hopeful(percent), "key long, q int, c int, doc_id long, component long, asks boolean"
+        )
+    )
+    held = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    held = durable(map_batches(held, "doc_id long, shingles binary", _sets))
+    return wanted.join(held, "doc_id").groupBy("key", "q", "c").applyInArrow(
+        _confirmed(percent), "u long, v long"
+    ).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -227,7 +282,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = durable(shown.groupBy("class").agg(F.min("doc_id").alias("rep")).where("rep is not null"))
     reps = durable(
         shown.join(classes.select("class", F.col("rep").alias("doc_id")), ["class", "doc_id"], "left_semi")
-        .select("doc_id", "bands", "sketch")
+        .select("doc_id", "n_shingles", "bands", "sketch")
     )
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("members"))
