@@ -16,6 +16,8 @@ deviations); the link itself is decided on the full sets with integers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -136,40 +138,60 @@ def _verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: in
 
 
 def _hopeful(percent: int):
-    def run(cell: pa.Table) -> pa.Table:
-        """Rows of the cell in at least one pair that only the full sets can decide, and on which side."""
-        asked, listed = cell.filter(cell["asked"]), cell.filter(cell["listed"])
-        key, leader = cell["key"][0].as_py(), cell["leader"][0].as_py()
-        own_id, own_part, own_size = (asked[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        ids, parts, sizes = (listed[c].to_numpy() for c in ("doc_id", "component", "n_shingles"))
-        own_sketch, sketches = (
-            np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=np.uint8).reshape(len(t), -1) for t in (asked, listed)
-        )
-        own_bands, bands = (
-            t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t in (asked, listed)
-        )
-        asks, meets = np.zeros(len(asked), dtype=bool), np.zeros(len(listed), dtype=bool)
-        for i in range(len(asked)):
-            if own_id[i] == leader:
-                continue
-            least, most = np.minimum(sizes, own_size[i]), np.maximum(sizes, own_size[i])
-            others = np.flatnonzero((parts != own_part[i]) & (ids != leader) & (100 * least >= percent * most))
-            others = others[estimate(sketches[others], own_sketch[i]) >= ESTIMATE_FLOOR]
+    """Rows of each cell in at least one pair that only the full sets can decide, and on which side."""
+
+    def of_cell(part: dict) -> tuple[np.ndarray, np.ndarray]:
+        key, leader, ids, parts, sizes = (part[c] for c in ("key", "leader", "doc_id", "component", "n_shingles"))
+        asks, meets = np.zeros(len(ids), dtype=bool), np.zeros(len(ids), dtype=bool)
+        usable = part["listed"] & (ids != leader)
+        for i in np.flatnonzero(part["asked"] & (ids != leader)):
+            least, most = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+            others = np.flatnonzero(usable & (parts != parts[i]) & (100 * least >= percent * most))
+            if len(others):
+                others = others[estimate(part["sketch"][others], part["sketch"][i]) >= ESTIMATE_FLOOR]
             if len(others):
-                first = (bands[others] == own_bands[i]).argmax(axis=1)
-                others = others[own_bands[i][first] == key]
-                asks[i] |= len(others) > 0
+                first = (part["bands"][others] == part["bands"][i]).argmax(axis=1)
+                others = others[part["bands"][i][first] == key[i]]
+                asks[i] = len(others) > 0
                 meets[others] = True
-        columns = ["key", "q", "c", "doc_id", "component"]
-        sides = [
-            side.filter(pa.array(mask)).select(columns).append_column("asks", pa.array(np.full(mask.sum(), name)))
-            for side, mask, name in ((asked, asks, True), (listed, meets, False))
-        ]
-        return pa.concat_tables(sides)
+        return asks, meets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in _whole_cells(batches):
+            columns = {c: table[c].to_numpy() for c in _CELL + ["leader", "doc_id", "component", "n_shingles"]}
+            columns |= {c: table[c].to_numpy() for c in ("asked", "listed")}
+            columns["bands"] = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+            sketched = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint8)
+            columns["sketch"] = sketched.reshape(len(table), -1)
+            sides = [of_cell({n: v[i:j] for n, v in columns.items()}) for i, j in zip(starts, starts[1:], strict=False)]
+            for name, side in ((True, 0), (False, 1)):
+                mask = np.concatenate([found[side] for found in sides])
+                kept = table.filter(pa.array(mask)).select(_CELL + ["doc_id", "component"])
+                yield from kept.append_column("asks", pa.array(np.full(len(kept), name))).to_batches()
 
     return run
 
 
+_CELL = ["key", "q", "c"]
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted batches cut between cells, with the start of each cell and the end; holds one cell over."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        if not len(table):
+            continue
+        names = np.stack([table[c].to_numpy().astype(np.int64) for c in _CELL])
+        starts = np.concatenate([[0], 1 + np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0))])
+        held = table.slice(starts[-1])
+        if len(starts) > 1:
+            yield table.slice(0, starts[-1]), starts
+    if held is not None and len(held):
+        yield held, np.array([0, len(held)])
+
+
 def _confirmed(percent: int):
     def run(cell: pa.Table) -> pa.Table:
         """Links of the cell on full sets; only those that join parts not joined yet."""
@@ -258,13 +280,13 @@ def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: D
     needed = durable(sketches.join(open_rows.select("doc_id").distinct(), "doc_id", "left_semi"))
     cells = cells.union(asking).union(listing).join(needed, "doc_id")
     wanted = durable(
-        cells.groupBy("key", "q", "c").applyInArrow(
+        cells.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(
             _hopeful(percent), "key long, q int, c int, doc_id long, component long, asks boolean"
         )
     )
     held = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     held = durable(map_batches(held, "doc_id long, shingles binary", _sets))
-    return wanted.join(held, "doc_id").groupBy("key", "q", "c").applyInArrow(
+    return wanted.join(held, "doc_id").groupBy(*_CELL).applyInArrow(
         _confirmed(percent), "u long, v long"
     ).distinct()
 
