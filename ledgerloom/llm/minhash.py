@@ -35,6 +35,8 @@ ROWS = 4
 ESTIMATE_FLOOR = 0.5
 #: Members of a bucket that one task compares at a time.
 BLOCK = 512
+#: Most document ids (8 bytes each) that are broadcast to pick texts; beyond it the join shuffles.
+SENT_IDS = 4_000_000
 
 _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _MULTIPLY = (_SEEDS[: BANDS * ROWS] | np.uint64(1))[:, None]
@@ -124,6 +126,12 @@ def _linked(percent: int):
     return run
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the distinct ``ids``; up to ``SENT_IDS`` of them are sent to the texts, so no text is shuffled."""
+    sent = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    return texts.join(sent, "doc_id", "left_semi")
+
+
 def _verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` of representatives whose full sets reach the threshold, as edges ``(u, v)``."""
     left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a"))
@@ -131,7 +139,7 @@ def _verify(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: in
     likely = durable(map_batches(pairs.join(right, "b").join(left, "a"), "a long, b long", _likely))
 
     wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
-    held = durable(texts.join(wanted, "doc_id", "left_semi"))
+    held = durable(_texts_of(texts, wanted))
     left = held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return map_batches(likely.join(right, "b").join(left, "a"), "u long, v long", _linked(percent))
@@ -284,7 +292,7 @@ def _blocks(members: DataFrame, labels: DataFrame, sketches: DataFrame, texts: D
             _hopeful(percent), "key long, q int, c int, doc_id long, component long, asks boolean"
         )
     )
-    held = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    held = _texts_of(texts, wanted.select("doc_id").distinct()).dropDuplicates(["doc_id"])
     held = durable(map_batches(held, "doc_id long, shingles binary", _sets))
     return wanted.join(held, "doc_id").groupBy(*_CELL).applyInArrow(
         _confirmed(percent), "u long, v long"
