@@ -1,9 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents and benchmark items are TF-IDF vectors of hashed words; document frequencies cover all documents.
-A randomised singular value decomposition of the benchmark passages gives a latent space: Gaussian test
+A randomised singular value decomposition of the benchmark passages gives latent spaces: Gaussian test
 vectors that any task can make again from a seed, power rounds as grouped sums in Spark, and small dense algebra
-of ``RANK`` columns on the driver.  Every window of every document is projected by running sums, and windows
+of ``RANK`` columns on the driver.  A space holds at most ``RANK`` items, so that it keeps each of them whole,
+however many items there are.  Every window of every document is projected by running sums, and windows
 whose cosine with an item passes ``COSINE`` are candidates.  The cosine keeps the norm of the whole window, so a
 window of other words is far from every item.  A candidate is contaminated if the longest common subsequence
 of words covers enough of the item and of its answer (a column, or else the item's last quarter), which finds
@@ -13,11 +14,13 @@ paraphrases with words changed, left out or put in.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.words import id_and_bytes, map_batches, mix, word_ids
@@ -25,6 +28,8 @@ from ledgerloom.scale import durable
 
 BITS = 18
 RANK = 256
+#: Latent spaces of one pass over the documents; more items take more passes.
+SPACES = 8
 POWER_ROUNDS = 2
 COSINE = 0.5
 COVERED = 0.7
@@ -88,33 +93,46 @@ def unit(vector: np.ndarray) -> np.ndarray:
 
 
 def item_vectors(items: DataFrame, idf) -> DataFrame:
-    """Unit TF-IDF vector per item: ``item_id, terms, weights``; items without words are left out."""
+    """Unit TF-IDF vector per item: ``item_id, terms, weights``; items without words are left out.
+
+    The number of the item's space stands above the ``BITS`` bits of a term.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"item_id": [], "terms": [], "weights": []}
-        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("item_id", "space", "text"))
+        for item, space, text in zip(*columns, strict=True):
             found, n = np.unique(terms(words_of(text)), return_counts=True)
             if len(found):
                 out["item_id"].append(item)
-                out["terms"].append(found)
+                out["terms"].append(space << BITS | found)
                 out["weights"].append(unit(n * idf.value[found].astype(np.float64)))
         return out
 
     return map_batches(items, "item_id long, terms array<int>, weights array<double>", run)
 
 
+def orthonormal(basis: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Orthonormal columns for each space by itself; a space of fewer terms than columns leaves the rest zero."""
+    out = np.zeros_like(basis)
+    for rows in np.split(np.arange(len(names)), np.flatnonzero(np.diff(names >> BITS)) + 1):
+        columns, _ = np.linalg.qr(basis[rows])
+        out[rows, : columns.shape[1]] = columns
+    return out
+
+
 def latent_space(vectors: DataFrame, rank: int = RANK, rounds: int = POWER_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """``(terms, basis)``: right singular vectors (one row per term of the passages) by randomised SVD.
 
     A round multiplies by the passage matrix and its transpose: each task sums the outer products of its
-    passages by term, Spark adds the sums.  The basis has a row per distinct benchmark term.
+    passages by term, Spark adds the sums.  The basis has a row per space and distinct benchmark term.
     """
     spark = vectors.sparkSession
     names = np.array(sorted(r[0] for r in vectors.select(F.explode("terms")).distinct().collect()), dtype=np.int64)
     rank = max(1, min(rank, vectors.count(), len(names)))
     basis = test_vectors(names, rank)
     for _ in range(rounds + 1):
-        basis, _ = np.linalg.qr(basis)
+        basis = orthonormal(basis, names)
         shared = spark.sparkContext.broadcast(basis)
 
         def multiply(batch: pa.RecordBatch, shared=shared) -> dict:
@@ -137,7 +155,7 @@ def latent_space(vectors: DataFrame, rank: int = RANK, rounds: int = POWER_ROUND
         basis = np.zeros_like(basis)
         flat = rows["sums"].combine_chunks().flatten().to_numpy()
         basis[rows["term"].to_numpy()] = flat.reshape(-1, basis.shape[1])
-    return names, np.linalg.qr(basis)[0]
+    return names, orthonormal(basis, names)
 
 
 def common_subsequence(item: list, part: list) -> list[bool]:
@@ -161,6 +179,17 @@ def common_subsequence(item: list, part: list) -> list[bool]:
     return covered
 
 
+def _sums(space: dict, idf: np.ndarray, ids: np.ndarray, block: np.ndarray, total: int) -> np.ndarray:
+    """Running sums over blocks of the words' rows in a latent space."""
+    row = space["row_of"][ids]
+    known = np.flatnonzero((row >= 0) & (idf[ids] > 0))
+    sums = np.zeros((total + 1, space["latent"].shape[1]), dtype=np.float32)
+    if len(known):
+        cut = np.flatnonzero(np.diff(block[known], prepend=-1))
+        sums[block[known][cut] + 1] = np.add.reduceat(space["latent"][row[known]], cut, axis=0)
+    return np.cumsum(sums, axis=0, out=sums)
+
+
 def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int, int, int, float]]:
     """Candidates ``(document, item, from, to, cosine)``, in words, of the terms of several documents.
 
@@ -177,28 +206,23 @@ def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int
     block = np.repeat(first, lengths) + place // BLOCK
     norm = np.bincount(block, weights=model["idf"][ids].astype(np.float64) ** 2, minlength=total)
 
-    row = model["row_of"][ids]
-    known = np.flatnonzero((row >= 0) & (model["idf"][ids] > 0))
-    sums = np.zeros((total + 1, model["latent"].shape[1]), dtype=np.float32)
-    if len(known):
-        cut = np.flatnonzero(np.diff(block[known], prepend=-1))
-        sums[block[known][cut] + 1] = np.add.reduceat(model["latent"][row[known]], cut, axis=0)
-    np.cumsum(sums, axis=0, out=sums)
     norms = np.concatenate(([0.0], np.cumsum(norm)))
     out = []
-    for width in np.unique(model["blocks"]).tolist():
-        items = np.flatnonzero(model["blocks"] == width)
-        length = np.sqrt(np.maximum(norms[width:] - norms[:-width], 1.0))
-        cosine = (sums[width:] - sums[:-width]) @ model["vectors"][items].T
-        window, item = np.nonzero(cosine >= COSINE * length[:, None])
-        owner = np.searchsorted(first - gap, window, side="right") - 1
-        # A window that begins in the gap before the next document belongs to that document.
-        owner += (window + width > first[np.minimum(owner + 1, len(first) - 1)]) & (owner + 1 < len(first)) & (
-            window >= first[owner] + rooms[owner] - gap)
-        begin = (window - first[owner]) * BLOCK
-        for d, i, s, w in zip(owner.tolist(), items[item].tolist(), begin.tolist(), range(len(window)), strict=True):
-            out.append((d, i, max(0, s), min(int(lengths[d]), s + width * BLOCK),
-                        float(cosine[window[w], item[w]] / length[window[w]])))
+    for space in model["spaces"]:
+        sums = _sums(space, model["idf"], ids, block, total)
+        for width in np.unique(model["blocks"][space["items"]]).tolist():
+            items = space["items"][model["blocks"][space["items"]] == width]
+            length = np.sqrt(np.maximum(norms[width:] - norms[:-width], 1.0))
+            cosine = (sums[width:] - sums[:-width]) @ model["vectors"][items].T
+            window, item = np.nonzero(cosine >= COSINE * length[:, None])
+            owner = np.searchsorted(first - gap, window, side="right") - 1
+            # A window that begins in the gap before the next document belongs to that document.
+            owner += (window + width > first[np.minimum(owner + 1, len(first) - 1)]) & (owner + 1 < len(first)) & (
+                window >= first[owner] + rooms[owner] - gap)
+            begin = (window - first[owner]) * BLOCK
+            for d, i, s, w in zip(owner.tolist(), items[item].tolist(), begin.tolist(), range(len(window)), strict=True):
+                out.append((d, i, max(0, s), min(int(lengths[d]), s + width * BLOCK),
+                            float(cosine[window[w], item[w]] / length[window[w]])))
     return out
 
 
@@ -253,8 +277,11 @@ def _answer(words: list[bytes], answer: str | None) -> list[int]:
     return list(range(len(words) - max(1, len(words) // 4), len(words)))
 
 
-def build(docs: DataFrame, benchmark: DataFrame, max_items: int = 200_000) -> dict | None:
-    """The search model; ``None`` if no item has words.  The benchmark must stay below ``max_items`` rows."""
+def build(docs: DataFrame, benchmark: DataFrame, max_items: int = 200_000) -> Iterator[tuple[dict, bool]]:
+    """Search models, each for the items of one pass, and whether it is the only one; none if no item has words.
+
+    The benchmark must stay below ``max_items`` rows.
+    """
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
@@ -262,26 +289,44 @@ def build(docs: DataFrame, benchmark: DataFrame, max_items: int = 200_000) -> di
     ).where(F.col("item_id").isNotNull())
     if items.limit(max_items + 1).count() > max_items:
         raise ValueError(f"more than {max_items} benchmark items: search them in parts")
+    table = [(r, split) for r in items.collect() if (split := words_of(r["text"]))]
+    if not table:
+        return
+    # Items of like length share a space, and so few widths of windows.
+    table.sort(key=lambda x: (len(x[1]), x[0]["item_id"]))
     frequency, total = document_frequencies(docs)
     idf = inverse_frequencies(frequency, total)
-    spark = docs.sparkSession
-    vectors = durable(item_vectors(items, spark.sparkContext.broadcast(idf)))
-    if vectors.isEmpty():
-        return None
-    names, basis = latent_space(vectors)
-    table = [r for r in items.collect() if words_of(r["text"])]
-    words = [words_of(r["text"]) for r in table]
+    size = RANK * SPACES
+    for begin in range(0, len(table), size):
+        yield _model(docs.sparkSession, table[begin : begin + size], idf), len(table) <= size
+
+
+def _model(spark: SparkSession, table: list[tuple[Row, list[bytes]]], idf: np.ndarray) -> dict:
+    """Model of at most ``RANK * SPACES`` items, in spaces of at most ``RANK``."""
+    rows = [(r["item_id"], k // RANK, bytearray(r["text"])) for k, (r, _) in enumerate(table)]
+    items = spark.createDataFrame(rows, "item_id long, space int, text binary")
+    names, basis = latent_space(durable(item_vectors(items, spark.sparkContext.broadcast(idf))))
+    words = [split for _, split in table]
     latent = []
-    for listed in words:
+    for k, listed in enumerate(words):
         found, n = np.unique(terms(listed), return_counts=True)
-        latent.append(unit(n * idf[found].astype(np.float64)) @ basis[np.searchsorted(names, found)])
+        at = np.searchsorted(names, k // RANK << BITS | found)
+        latent.append(unit(n * idf[found].astype(np.float64)) @ basis[at])
+    spaces = []
+    for space in range(-(-len(table) // RANK)):
+        own = np.flatnonzero(names >> BITS == space)
+        term = names[own] & ((1 << BITS) - 1)
+        row_of = np.full(1 << BITS, -1, dtype=np.int32)
+        row_of[term] = np.arange(len(own))
+        spaces.append({
+            "row_of": row_of, "latent": (basis[own] * idf[term][:, None]).astype(np.float32),
+            "items": np.arange(space * RANK, min(len(table), (space + 1) * RANK)),
+        })
     lengths = np.array([len(w) for w in words])
-    row_of = np.full(1 << BITS, -1, dtype=np.int32)
-    row_of[names] = np.arange(len(names))
     return {
-        "row_of": row_of, "latent": (basis * idf[names][:, None]).astype(np.float32), "idf": idf,
-        "vectors": np.array(latent, dtype=np.float32), "items": [r["item_id"] for r in table], "words": words,
-        "answers": [_answer(w, r["answer"]) for w, r in zip(words, table, strict=True)],
+        "spaces": spaces, "idf": idf,
+        "vectors": np.array(latent, dtype=np.float32), "items": [r["item_id"] for r, _ in table], "words": words,
+        "answers": [_answer(w, r["answer"]) for r, w in table],
         "counts": [Counter(w) for w in words],
         # So many blocks hold an item wherever it starts.
         "blocks": -(-(lengths - 1) // BLOCK) + 1,
@@ -297,9 +342,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     schema = ("doc_id long, row long, item_id long, cosine double, lcs_share double, answer_share double, "
               "start int, end int")
-    model = build(docs, benchmark)
-    if model is None:
-        return docs.sparkSession.createDataFrame([], schema)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = id_and_bytes(docs).withColumn("row", F.xxhash64("doc_id", "text"))
-    return map_batches(texts, schema, _search(shared))
+    found = []
+    for model, alone in build(docs, benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        rows = map_batches(texts, schema, _search(shared))
+        if not alone:  # the models of all passes together need not fit
+            rows = durable(rows)
+            shared.destroy()
+        found.append(rows)
+    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)

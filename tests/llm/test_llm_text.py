@@ -126,6 +126,17 @@ def test_truncated_space_keeps_recall(leaks):
     assert (kept >= 0.9).mean() >= 0.9
 
 
+@pytest.mark.parametrize("spaces", [8, 2])
+def test_more_items_than_rank(spark, monkeypatch, spaces):
+    """All verbatim copies are found with items well above the rank, in one pass and in several."""
+    monkeypatch.setattr(decontaminate, "SPACES", spaces)
+    items = [(k, " ".join(words(20 + k % 20, 5000 + k))) for k in range(3 * decontaminate.RANK)]
+    docs = [(k, " ".join(words(40, 9000 + k) + items[k][1].split() + words(40, 19000 + k))) for k in range(0, len(items), 3)]
+    got = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(k, k) for k, _ in docs}
+
+
 def test_decontaminate_empty(spark, leaks):
     docs, bench, _ = leaks
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
