@@ -6,7 +6,9 @@ vectors that any task can make again from a seed, power rounds as grouped sums i
 of ``RANK`` columns on the driver.  A space holds at most ``RANK`` items, so that it keeps each of them whole,
 however many items there are.  Every window of every document is projected by running sums, and windows
 whose cosine with an item passes ``COSINE`` are candidates.  The cosine keeps the norm of the whole window, so a
-window of other words is far from every item.  A candidate is contaminated if the longest common subsequence
+window of other words is far from every item.  An item of words that many documents have weighs little beside rare
+words around it, whatever its cosine; so windows that hold ``COVERED`` of an item's words are candidates too, and
+below ``COSINE`` their words must stand as close.  A candidate is contaminated if the longest common subsequence
 of words covers enough of the item and of its answer (a column, or else the item's last quarter), which finds
 paraphrases with words changed, left out or put in.
 """
@@ -34,8 +36,8 @@ POWER_ROUNDS = 2
 COSINE = 0.5
 COVERED = 0.7
 ANSWER = 0.5
-#: Share of the documents (and least number of them) beyond which a term is common.
-COMMON, COMMON_LEAST = 0.05, 20
+#: Weight of a term that every document has.
+FLOOR = 0.1
 #: Words of a block; windows are whole blocks.
 BLOCK = 8
 #: Words that are projected at a time.
@@ -73,9 +75,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def inverse_frequencies(frequency: np.ndarray, total: int) -> np.ndarray:
-    """Weights of the hashed terms; terms of more than ``COMMON`` of the documents tell nothing and weigh 0."""
-    weights = np.log((total + 1) / (frequency + 1)) + 0.1
-    return np.where(frequency > max(COMMON * total, COMMON_LEAST), 0.0, weights).astype(np.float32)
+    """Weights of the hashed terms; a term of every document still weighs ``FLOOR``."""
+    return (np.log((total + 1) / (frequency + 1)) + FLOOR).astype(np.float32)
 
 
 def test_vectors(term: np.ndarray, rank: int) -> np.ndarray:
@@ -179,14 +180,14 @@ def common_subsequence(item: list, part: list) -> list[bool]:
     return covered
 
 
-def _sums(space: dict, idf: np.ndarray, ids: np.ndarray, block: np.ndarray, total: int) -> np.ndarray:
-    """Running sums over blocks of the words' rows in a latent space."""
+def _sums(space: dict, ids: np.ndarray, block: np.ndarray, total: int) -> np.ndarray:
+    """Running sums over blocks of the words' rows: latent columns, then per item whether it has the word."""
     row = space["row_of"][ids]
-    known = np.flatnonzero((row >= 0) & (idf[ids] > 0))
-    sums = np.zeros((total + 1, space["latent"].shape[1]), dtype=np.float32)
+    known = np.flatnonzero(row >= 0)
+    sums = np.zeros((total + 1, space["columns"].shape[1]), dtype=np.float32)
     if len(known):
         cut = np.flatnonzero(np.diff(block[known], prepend=-1))
-        sums[block[known][cut] + 1] = np.add.reduceat(space["latent"][row[known]], cut, axis=0)
+        sums[block[known][cut] + 1] = np.add.reduceat(space["columns"][row[known]], cut, axis=0)
     return np.cumsum(sums, axis=0, out=sums)
 
 
@@ -209,12 +210,15 @@ def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int
     norms = np.concatenate(([0.0], np.cumsum(norm)))
     out = []
     for space in model["spaces"]:
-        sums = _sums(space, model["idf"], ids, block, total)
+        sums = _sums(space, ids, block, total)
+        rank = model["vectors"].shape[1]
         for width in np.unique(model["blocks"][space["items"]]).tolist():
             items = space["items"][model["blocks"][space["items"]] == width]
-            length = np.sqrt(np.maximum(norms[width:] - norms[:-width], 1.0))
-            cosine = (sums[width:] - sums[:-width]) @ model["vectors"][items].T
-            window, item = np.nonzero(cosine >= COSINE * length[:, None])
+            length = np.sqrt(np.maximum(norms[width:] - norms[:-width], FLOOR**2))
+            cosine = (sums[width:, :rank] - sums[:-width, :rank]) @ model["vectors"][items].T
+            has = rank + items - space["items"][0]
+            held = sums[width:, has] - sums[:-width, has]
+            window, item = np.nonzero((cosine >= COSINE * length[:, None]) | (held >= model["least"][items]))
             owner = np.searchsorted(first - gap, window, side="right") - 1
             # A window that begins in the gap before the next document belongs to that document.
             owner += (window + width > first[np.minimum(owner + 1, len(first) - 1)]) & (owner + 1 < len(first)) & (
@@ -238,6 +242,19 @@ def _groups(sizes: list[int]) -> list[list[int]]:
     return groups
 
 
+def _runs(wanted: list[bytes], part: list[bytes], counts: Counter, cosine: float) -> list[list[bytes]]:
+    """What a candidate is compared by: the window, or below ``COSINE`` its runs in which the words stand close."""
+    if cosine >= COSINE:
+        return [part]
+    held = Counter(part)
+    if sum(min(n, held[w]) for w, n in counts.items()) < COVERED * len(wanted):
+        return []
+    if sum(common_subsequence(wanted, part)) < COVERED * len(wanted):
+        return []
+    room = int(len(wanted) / COVERED)
+    return [part[k : k + room] for k in range(max(1, len(part) - room + 1))]
+
+
 def _search(shared):
     def run(batch: pa.RecordBatch) -> dict:
         model = shared.value
@@ -255,11 +272,12 @@ def _search(shared):
                 counts = model["counts"][item]
                 if sum(map(counts.get, counts.keys() & set(part))) < COVERED * len(wanted):
                     continue
-                covered = common_subsequence(wanted, part)
-                share = sum(covered) / len(wanted)
-                asked = sum(covered[w] for w in answer) / len(answer) if answer else 1.0
-                if share >= COVERED and asked >= ANSWER:
-                    best[k, item] = max(best.get((k, item), (0.0,)), (share, asked, cosine, start, end))
+                for run in _runs(wanted, part, counts, cosine):
+                    covered = common_subsequence(wanted, run)
+                    share = sum(covered) / len(wanted)
+                    asked = sum(covered[w] for w in answer) / len(answer) if answer else 1.0
+                    if share >= COVERED and asked >= ANSWER:
+                        best[k, item] = max(best.get((k, item), (0.0,)), (share, asked, cosine, start, end))
         for (k, item), (share, asked, cosine, start, end) in best.items():
             values = (docs[k], rows[k], model["items"][item], cosine, share, asked, start, end)
             for name, value in zip(names, values, strict=True):
@@ -318,9 +336,13 @@ def _model(spark: SparkSession, table: list[tuple[Row, list[bytes]]], idf: np.nd
         term = names[own] & ((1 << BITS) - 1)
         row_of = np.full(1 << BITS, -1, dtype=np.int32)
         row_of[term] = np.arange(len(own))
+        members = np.arange(space * RANK, min(len(table), (space + 1) * RANK))
+        has = np.zeros((len(own), len(members)))
+        for column, k in enumerate(members.tolist()):
+            has[row_of[terms(words[k])], column] = 1
         spaces.append({
-            "row_of": row_of, "latent": (basis[own] * idf[term][:, None]).astype(np.float32),
-            "items": np.arange(space * RANK, min(len(table), (space + 1) * RANK)),
+            "row_of": row_of, "items": members,
+            "columns": np.hstack([basis[own] * idf[term][:, None], has]).astype(np.float32),
         })
     lengths = np.array([len(w) for w in words])
     return {
@@ -328,6 +350,8 @@ def _model(spark: SparkSession, table: list[tuple[Row, list[bytes]]], idf: np.nd
         "vectors": np.array(latent, dtype=np.float32), "items": [r["item_id"] for r, _ in table], "words": words,
         "answers": [_answer(w, r["answer"]) for r, w in table],
         "counts": [Counter(w) for w in words],
+        # So many words of an item make a window a candidate.
+        "least": np.ceil(COVERED * lengths - 1e-6).astype(np.float32),
         # So many blocks hold an item wherever it starts.
         "blocks": -(-(lengths - 1) // BLOCK) + 1,
     }

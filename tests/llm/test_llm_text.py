@@ -137,6 +137,24 @@ def test_more_items_than_rank(spark, monkeypatch, spaces):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(k, k) for k, _ in docs}
 
 
+def test_item_in_a_third_of_the_documents(spark):
+    """Words that a leak itself makes common still find every leak, with rare words around it or not."""
+    hot, single = " ".join(words(25, 1)), words(22, 2)
+    filler = " ".join(single)  # the single leak's words in another order are in every third document
+    docs = []
+    for k in range(600):
+        body = words(60, 700 + k, 10**9)
+        if k % 3 == 0:
+            body.insert(k % 50, hot)
+        elif k % 3 == 1:
+            body.insert(k % 50, " x ".join(sorted(single)))
+        docs.append((k, " ".join(body)))
+    docs += [(1000, " ".join(words(40, 3, 10**9)) + " " + filler), (1001, filler)]
+    bench = spark.createDataFrame([(1, hot), (2, filler)], "item_id long, text string")
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, 1) for k in range(0, 600, 3)} | {(1000, 2), (1001, 2)}
+
+
 def test_decontaminate_empty(spark, leaks):
     docs, bench, _ = leaks
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
