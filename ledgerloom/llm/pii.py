@@ -26,7 +26,10 @@ _PATTERNS = {
 }
 #: Identifier-like tokens: a digit or an at sign within a run of visible characters.
 _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-_FOUND = "struct<kind:string,start:int,end:int,value:string,context:string>"
+#: Groups of a number written with single spaces: one that may be followed, and one that may follow.
+_LEADS = r"^[+(\[]*+[0-9](?:[0-9()\[\].-]*[0-9)\]-])?$"
+_FOLLOWS = r"^[(\[-]*+[0-9][0-9()\[\].-]*+[^\p{L}0-9@+]*+$"
+_FOUND = "struct<kind:string,start:int,end:int,value:string,context:string,spaced:boolean>"
 
 ROUNDS = 3
 CONFIDENCE = 0.6
@@ -36,32 +39,65 @@ SMOOTHING = 2.0
 CONTEXT_CHARS = 60
 
 
-def _context(gap: Column) -> Column:
+def _context(before: Column) -> Column:
     """Last two words before a token, lower-cased, digits made equal; empty at the start of a text."""
-    near = F.lower(F.regexp_replace(F.right(gap, F.lit(CONTEXT_CHARS)), "[0-9]", "0"))
+    near = F.lower(F.regexp_replace(before, "[0-9]", "0"))
     words = F.filter(F.split(near, r"\s+"), lambda w: w != "")
     return F.array_join(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), " ")
 
 
 def _located(text: Column, pattern: str, kind: str | None) -> Column:
-    """Matches of ``pattern`` with start and end in code points, from the gaps between them."""
+    """Matches of ``pattern`` with start and end in code points, from the gaps between them.
+
+    ``spaced`` tells whether a single space parts a match from the one before.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["value"])
+        # Earlier matches are text before this one like any other.
+        before = F.right(F.concat(state["before"], pair["gap"]), F.lit(CONTEXT_CHARS))
         found = F.struct(
             F.lit(kind).cast("string").alias("kind"), start.alias("start"), end.alias("end"),
-            pair["value"].alias("value"), _context(pair["gap"]).alias("context"),
+            pair["value"].alias("value"), _context(before).alias("context"), (pair["gap"] == " ").alias("spaced"),
         )
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(found)).alias("out"))
+        past = F.right(F.concat(before, pair["value"]), F.lit(CONTEXT_CHARS))
+        return F.struct(end.alias("at"), past.alias("before"), F.concat(state["out"], F.array(found)).alias("out"))
 
     pairs = F.zip_with(gaps, matches, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_FOUND}>").alias("out"))
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.array().cast(f"array<{_FOUND}>").alias("out"))
     return F.aggregate(pairs, begin, step, lambda state: state["out"])
 
 
+def _whole(tokens: Column) -> Column:
+    """Tokens with the groups of a number written with single spaces put together; the first gives the context."""
+    fields = [f.split(":") for f in _FOUND[len("struct<"):-1].split(",")]
+
+    def step(state: Column, token: Column) -> Column:
+        last = state["last"]
+        joins = F.coalesce(
+            token["spaced"] & (token["start"] == last["end"] + 1) & state["leads"] & token["value"].rlike(_FOLLOWS),
+            F.lit(False),
+        )
+        new = {"end": token["end"], "value": F.concat(last["value"], F.lit(" "), token["value"])}
+        merged = F.struct(*[new.get(name, last[name]).alias(name) for name, _ in fields])
+        done = F.when(joins | last.isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(last)))
+        return F.struct(
+            done.alias("out"), F.when(joins, merged).otherwise(token).cast(_FOUND).alias("last"),
+            token["value"].rlike(_LEADS).alias("leads"),
+        )
+
+    begin = F.struct(
+        F.array().cast(f"array<{_FOUND}>").alias("out"), F.lit(None).cast(_FOUND).alias("last"), F.lit(False).alias("leads")
+    )
+    return F.aggregate(
+        tokens, begin, step,
+        lambda state: F.when(state["last"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(state["last"]))),
+    )
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -100,7 +136,10 @@ def _valid_spans(kind: str) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, base, tokens``: valid spans by kind and start, and identifier-like tokens outside them."""
+    """``doc_id, row, base, tokens``: valid spans by kind and start, and identifier-like tokens outside them.
+
+    Numbers written with single spaces are one token.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     none = F.array().cast(f"array<{_FOUND}>")
@@ -118,7 +157,7 @@ def located(docs: DataFrame) -> DataFrame:
     free = F.filter(
         "tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
     )
-    return found.select("doc_id", "row", "base", free.alias("tokens"))
+    return found.select("doc_id", "row", "base", _whole(free).alias("tokens"))
 
 
 def patterns(found: DataFrame) -> DataFrame:

@@ -63,6 +63,22 @@ def test_patterns_find_unseen_identifiers(spark):
     assert got[3]["spans"].startswith("email:") and not got[3]["added"]
 
 
+def test_spaced_identifiers_and_contexts_past_other_tokens(spark):
+    """Numbers with spaces are one identifier; the context of seeds and tokens runs over what stands before."""
+    seeds = [(k, f"text please phone +49 30 55577{k:02}1 today") for k in range(8)]
+    seeds += [(20 + k, f"room 7 card 4111 1111 1111 1111 and 2 mail u{k}@mail.example.com") for k in range(8)]
+    texts = {
+        100: ("please phone 555 123 4567 today", "phone:13:25"),
+        101: ("please phone (555) 123-4567, today", "phone:13:28"),
+        102: ("and 2 mail john(at)9mail", "email:11:24"),
+        103: ("and 2 mail u1@mail.example.com 12 34", "email:11:30"),
+        104: ("please phone 555 123x 12", "phone:13:16"),
+    }
+    rows = seeds + [(k, text) for k, (text, _) in texts.items()]
+    got = {r["doc_id"]: r["spans"] for r in find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in texts} == {k: want for k, (_, want) in texts.items()}
+
+
 def test_pii_nulls_ties_and_extra_columns(spark):
     rows = spark.createDataFrame(
         [(1, "a@b.c", "x", 5), (1, "a@b.c", "y", 6), (None, "a@b.c", None, None), (2, None, None, None)],
