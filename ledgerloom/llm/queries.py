@@ -13,6 +13,7 @@ from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.pii import find
 from ledgerloom.llm.quality import score_quality
+from ledgerloom.llm.simhash import near_duplicates as simhash_duplicates
 from ledgerloom.llm.substring import remove_repeated
 from ledgerloom.llm.warc import round_trip
 
@@ -78,11 +79,16 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return detect(_table(spark, folder, "documents"))
 
 
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_decontamination, op3_exact_dedup, op4_pii, op5_warc, op6_near_dedup, op7_substring_dedup,
-        op8_quality, op9_chat, op10_language,
+        op8_quality, op9_chat, op10_language, op13_simhash,
     )
 }
 
