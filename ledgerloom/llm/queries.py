@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.chat import format_conversations
 from ledgerloom.llm.decontaminate import contaminated
 from ledgerloom.llm.exact import exact_duplicates
+from ledgerloom.llm.hardneg import mine
 from ledgerloom.llm.langid import detect
 from ledgerloom.llm.minhash import near_duplicates
 from ledgerloom.llm.packing import pack
@@ -79,6 +80,12 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return detect(_table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every 50th vector among all vectors; a seventh of the labels is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_duplicates(_table(spark, folder, "documents"))
@@ -88,7 +95,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_decontamination, op3_exact_dedup, op4_pii, op5_warc, op6_near_dedup, op7_substring_dedup,
-        op8_quality, op9_chat, op10_language, op13_simhash,
+        op8_quality, op9_chat, op10_language, op11_hard_negatives, op13_simhash,
     )
 }
 
@@ -167,4 +174,25 @@ ORACLES = {
                sum(12 + length(role) + 1 + length(shown) + 11)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op11_hard_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        p AS (
+            SELECT anchor_id, other, score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT p.anchor_id, p.other AS positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other)::INTEGER AS rank,
+               s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+            AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
 }
