@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chat import format_conversations
+from ledgerloom.llm.collocations import collocations
 from ledgerloom.llm.decontaminate import contaminated
 from ledgerloom.llm.exact import exact_duplicates
 from ledgerloom.llm.hardneg import mine
@@ -86,6 +87,11 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return mine(_table(spark, folder, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 phrases of each language."""
+    return collocations(_table(spark, folder, "documents"))
+
+
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_duplicates(_table(spark, folder, "documents"))
@@ -95,7 +101,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_decontamination, op3_exact_dedup, op4_pii, op5_warc, op6_near_dedup, op7_substring_dedup,
-        op8_quality, op9_chat, op10_language, op11_hard_negatives, op13_simhash,
+        op8_quality, op9_chat, op10_language, op11_hard_negatives,
+        op12_collocations, op13_simhash,
     )
 }
 
@@ -195,4 +202,34 @@ ORACLES = {
             AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
         QUALIFY rank <= 3
     """,
+    "op12_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+        g AS (
+            SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+            FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                  FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k)),
+        f AS (SELECT lang, k AS words, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+        c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE words > 1),
+        s AS (
+            SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r,
+                   (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, words)) AS k FROM c) c
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(c.ws, 1, c.k), ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(c.ws, c.k + 1, c.words), ' ')
+            QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1),
+        longer AS (
+            SELECT lang, phrase, max(a) AS around
+            FROM (SELECT lang, a, array_to_string(list_slice(ws, i, i + 1), ' ') AS phrase
+                  FROM c, (SELECT unnest([1, 2]) AS i) WHERE words = 3) GROUP BY ALL)
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank,
+               s.phrase, s.a, s.l, s.r, n.n, s.score
+        FROM s JOIN n USING (lang) LEFT JOIN longer USING (lang, phrase)
+        WHERE longer.around IS NULL OR 100 * longer.around < 50 * s.a
+        QUALIFY rank <= 2000
+    """,
 }
