@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.slices import word_slices
 from ledgerloom.llm.words import mix, ship, signed, window_hashes, word_ids
-from ledgerloom.scale import durable
+from ledgerloom.scale import broadcast_if_small, durable
 
 LONGEST = 3
 THRESHOLD = 10
@@ -34,12 +34,14 @@ TOP = 2000
 ABSORBED = 50
 
 #: Words that are combined in a task before they are handed on.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 #: Text bytes for each hash partition; a summary holds ``ROOM`` times its mass over the threshold.
-PARTITION_BYTES = 8 << 20
+PARTITION_BYTES = 4 << 20
 ROOM = 4
 #: Bits of a hash that tell phrases of a partition apart.
 KEY_BITS = 40
+#: Bits of the hash partition that a block, or a level above it, is dealt out by at once.
+LEVEL_BITS = 10
 #: Bits of the survivors' map for each survivor, and at most.
 MAP_BITS_EACH, MAP_BITS_MOST = 16, 1 << 28
 
@@ -125,8 +127,7 @@ class Summary:
 
     def merge(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Add counters; beyond the capacity, take off the greatest count that has no room."""
-        keys, place = np.unique(np.concatenate([self.keys, *(k for k, _ in parts)]), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([self.counts, *(n for _, n in parts)])).astype(np.int64)
+        keys, counts = _added([(self.keys, self.counts), *parts])
         over = len(keys) - self.capacity
         if over > 0:
             off = int(np.partition(counts, over - 1)[over - 1])
@@ -140,39 +141,95 @@ class Summary:
         return self.keys[self.counts + self.error >= threshold]
 
 
-def _to_planes(keys: np.ndarray) -> bytes:
-    """The low ``KEY_BITS`` of sorted keys, byte by byte, which compresses well."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].T.tobytes()
+def _to_planes(keys: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of sorted keys, byte by byte, which compresses well."""
+    low = keys & np.uint64((1 << width) - 1)
+    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : -(-width // 8)].T.tobytes()
 
 
-def _from_planes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(KEY_BITS // 8, -1)
+def _from_planes(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(-(-width // 8), -1)
     full = np.zeros((planes.shape[1], 8), dtype=np.uint8)
-    full[:, : KEY_BITS // 8] = planes.T
-    return full.view("<u8").ravel()
+    full[:, : len(planes)] = planes.T
+    return full.view("<u8").ravel().astype(np.uint64)
+
+
+def _dealt(keys: np.ndarray, counts: np.ndarray, width: int, threshold: int) -> pa.RecordBatch:
+    """Sorted keys by hash partition (their bits above ``width``): keys, counts up to the threshold, and their sum."""
+    counts = np.minimum(counts, threshold)
+    parts, starts = np.unique(keys >> np.uint64(width), return_index=True)
+    cuts = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(keys)])]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(parts.astype(np.int32)),
+            pa.array([int(counts[c].sum()) for c in cuts], type=pa.int64()),
+            pa.array([_to_planes(keys[c], width) for c in cuts], type=pa.binary()),
+            pa.array([counts[c].astype("<u2").tobytes() for c in cuts], type=pa.binary()),
+        ],
+        names=["part", "mass", "keys", "counts"],
+    )
+
+
+_SUMMED = "part int, mass long, keys binary, counts binary"
+
+
+def _read(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
+    return _from_planes(row["keys"], width), np.frombuffer(row["counts"], dtype="<u2").astype(np.int64)
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(place, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+
 
+def _by_part(blocks: DataFrame, bits: int) -> DataFrame:
+    return blocks.repartition(1 << bits, "part").sortWithinPartitions("part")
 
-def _summed(docs: DataFrame, bits: int, threshold: int) -> DataFrame:
-    """Per block and hash partition: sorted keys, counts up to the threshold, and their sum."""
+
+def _finer(blocks: DataFrame, bits: int, width: int, finer: int, threshold: int) -> DataFrame:
+    """Blocks of partitions by ``bits`` bits, with ``width`` left, combined and dealt out by ``finer`` bits instead."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in _rows(batches):
+            keys, counts = _read(row, width)
+            held.append((keys | np.uint64(row["part"] << width), counts))
+            size += len(keys)
+            if size >= BLOCK_WORDS * LONGEST:
+                yield _dealt(*_added(held), width - finer + bits, threshold)
+                held, size = [], 0
+        if size:
+            yield _dealt(*_added(held), width - finer + bits, threshold)
+
+    return _by_part(blocks, bits).mapInArrow(run, _SUMMED)
+
+
+def _summed(docs: DataFrame, bits: int, threshold: int, level_bits: int) -> DataFrame:
+    """Keys and counts of blocks of text by hash partition of ``bits`` bits.
+
+    A block is dealt to 2**``level_bits`` partitions at most; more are reached level by level, so that the rows of
+    every level hold many keys.
+    """
     shift = np.uint64(64 - KEY_BITS - bits)
+    level = min(bits, level_bits)
+    width = KEY_BITS + bits - level
 
     def rows_of(block: Block) -> pa.RecordBatch:
         hashed = np.concatenate([h for _, _, h in block.hashes()])
-        keys, counts = np.unique(hashed >> shift, return_counts=True)
-        counts = np.minimum(counts, threshold)
-        parts, starts = np.unique(keys >> np.uint64(KEY_BITS), return_index=True)
-        cuts = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(keys)])]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(parts.astype(np.int32)),
-                pa.array([int(counts[c].sum()) for c in cuts], type=pa.int64()),
-                pa.array([_to_planes(keys[c]) for c in cuts], type=pa.binary()),
-                pa.array([counts[c].astype("<u2").tobytes() for c in cuts], type=pa.binary()),
-            ],
-            names=["part", "mass", "keys", "counts"],
-        )
+        return _dealt(*np.unique(hashed >> shift, return_counts=True), width, threshold)
 
-    return _map_blocks(docs, "part int, mass long, keys binary, counts binary", rows_of)
+    blocks = durable(_map_blocks(docs, _SUMMED, rows_of))
+    while level < bits:
+        finer = min(bits, level + level_bits)
+        blocks = durable(_finer(blocks, level, width, finer, threshold))
+        level, width = finer, width - finer + level
+    return blocks
 
 
 def _survivors(blocks: DataFrame, bits: int, threshold: int) -> DataFrame:
@@ -186,26 +243,23 @@ def _survivors(blocks: DataFrame, bits: int, threshold: int) -> DataFrame:
             keys = summary.frequent(threshold) | np.uint64(part << KEY_BITS)
             return pa.RecordBatch.from_arrays([pa.array(signed(keys))], names=["key"])
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["part"] != part:
-                    if part is not None:
-                        yield done()
-                    part, held, size = row["part"], [], 0
-                    summary = Summary(ROOM * row["total"] // threshold + 1)
-                keys = _from_planes(row["keys"])
-                held.append((keys, np.frombuffer(row["counts"], dtype="<u2").astype(np.int64)))
-                size += len(keys)
-                if size > summary.capacity:
-                    summary.merge(held)
-                    held, size = [], 0
+        for row in _rows(batches):
+            if row["part"] != part:
+                if part is not None:
+                    yield done()
+                part, held, size = row["part"], [], 0
+                summary = Summary(ROOM * row["total"] // threshold + 1)
+            held.append(_read(row, KEY_BITS))
+            size += len(held[-1][0])
+            if size > summary.capacity:
+                summary.merge(held)
+                held, size = [], 0
         if part is not None:
             yield done()
 
-    mass = blocks.groupBy("part").agg(F.sum("mass").alias("total"))
+    mass = broadcast_if_small(durable(blocks.groupBy("part").agg(F.sum("mass").alias("total"))))
     named = blocks.join(mass, "part").select("part", "total", "keys", "counts")
-    dealt = named.repartition(max(1, 1 << bits), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "key long")
+    return _by_part(named, bits).mapInArrow(run, "key long")
 
 
 def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,14 +297,16 @@ def _marked(bit_map: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def counted(docs: DataFrame, threshold: int = THRESHOLD, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
+def counted(
+    docs: DataFrame, threshold: int = THRESHOLD, partition_bytes: int = PARTITION_BYTES, level_bits: int = LEVEL_BITS
+) -> DataFrame:
     """``lang, words, phrase, n`` of every phrase of up to ``LONGEST`` words that occurs at least ``threshold`` times.
 
     A row without phrase (zero words) per language holds the number of all its words.
     """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    bits = max(0, -(-size // partition_bytes) - 1).bit_length()
-    blocks = durable(_summed(docs, bits, threshold))
+    bits = min(64 - KEY_BITS, max(0, -(-size // partition_bytes) - 1).bit_length())
+    blocks = _summed(docs, bits, threshold, level_bits)
     survivors = durable(_survivors(blocks, bits, threshold))
     shared = docs.sparkSession.sparkContext.broadcast(_bit_map(survivors))
     shift = np.uint64(64 - KEY_BITS - bits)
@@ -282,7 +338,8 @@ def _part(start, length):
 
 
 def collocations(
-    docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, partition_bytes: int = PARTITION_BYTES
+    docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, partition_bytes: int = PARTITION_BYTES,
+    level_bits: int = LEVEL_BITS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases of ``docs(lang, text)``.
 
@@ -295,7 +352,7 @@ def collocations(
     - An empty table, or one without frequent phrases, gives an empty result.
     - Other columns are ignored, whatever their names.
     """
-    counts = durable(counted(docs, threshold, partition_bytes))
+    counts = durable(counted(docs, threshold, partition_bytes, level_bits))
     phrases = counts.where("words > 0").select("lang", "phrase", F.col("n").alias("a"))
     total = counts.where("words = 0").select("lang", "n")
     long = counts.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))

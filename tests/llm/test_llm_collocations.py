@@ -63,9 +63,10 @@ def corpus():
                                                          ("New YORK. " * 31, "en"), ("a,b" * 20, "de")]
 
 
-@pytest.mark.parametrize(("threshold", "top", "partition_bytes"), [(10, 2000, 8 << 20), (10, 7, 1000), (3, 2000, 300)])
-def test_against_brute_force(spark, threshold, top, partition_bytes):
-    got = co.collocations(frame(spark, corpus()), threshold, top, partition_bytes)
+@pytest.mark.parametrize(("threshold", "top", "partition_bytes", "level_bits"),
+                         [(10, 2000, 8 << 20, 10), (10, 7, 3000, 10), (3, 2000, 3000, 2)])
+def test_against_brute_force(spark, threshold, top, partition_bytes, level_bits):
+    got = co.collocations(frame(spark, corpus()), threshold, top, partition_bytes, level_bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert [t for _, t in got.dtypes] == ["string", "bigint", "string"] + ["bigint"] * 5
     assert sorted(map(tuple, got.collect())) == sorted(brute(corpus(), threshold, top))
@@ -93,7 +94,8 @@ def test_no_frequent_key_is_lost():
 
 def test_planes_round_trip():
     keys = np.array([0, 1, 255, 256, (1 << 40) - 1], dtype=np.uint64)
-    assert co._from_planes(co._to_planes(keys | np.uint64(7 << 40))).tolist() == keys.tolist()
+    assert co._from_planes(co._to_planes(keys | np.uint64(7 << 40), 40), 40).tolist() == keys.tolist()
+    assert co._from_planes(co._to_planes(keys | np.uint64(7 << 41), 43), 43).tolist() == (keys | np.uint64(6 << 40)).tolist()
 
 
 def test_slices_hold_every_run_once():
