@@ -13,9 +13,11 @@ decide.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.slices import word_slices
 from ledgerloom.llm.words import mix, ship, signed, window_hashes, word_ids
-from ledgerloom.scale import broadcast_if_small, durable
+from ledgerloom.scale import durable
 
 LONGEST = 3
 THRESHOLD = 10
@@ -35,11 +37,13 @@ ABSORBED = 50
 
 #: Words that are combined in a task before they are handed on.
 BLOCK_WORDS = 1 << 19
+#: Different phrases that a task holds in the second pass before it hands them on.
+HELD_PHRASES = 300_000
 #: Text bytes for each hash partition; a summary holds ``ROOM`` times its mass over the threshold.
 PARTITION_BYTES = 4 << 20
 ROOM = 4
 #: Bits of a hash that tell phrases of a partition apart.
-KEY_BITS = 40
+KEY_BITS = 32
 #: Bits of the hash partition that a block, or a level above it, is dealt out by at once.
 LEVEL_BITS = 10
 #: Bits of the survivors' map for each survivor, and at most.
@@ -107,13 +111,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
         yield block
 
 
-def _map_blocks(docs: DataFrame, schema: str, rows_of: Callable[[Block], pa.RecordBatch]) -> DataFrame:
+def _known(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
-    known = docs.select(
+    return docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    return known.mapInArrow(lambda batches: map(rows_of, _blocks(batches)), schema)
+
+
+def _map_blocks(docs: DataFrame, schema: str, rows_of: Callable[[Block], pa.RecordBatch]) -> DataFrame:
+    return _known(docs).mapInArrow(lambda batches: map(rows_of, _blocks(batches)), schema)
 
 
 @dataclass
@@ -155,22 +162,21 @@ def _from_planes(data: bytes, width: int) -> np.ndarray:
 
 
 def _dealt(keys: np.ndarray, counts: np.ndarray, width: int, threshold: int) -> pa.RecordBatch:
-    """Sorted keys by hash partition (their bits above ``width``): keys, counts up to the threshold, and their sum."""
+    """Sorted keys by hash partition (their bits above ``width``) with counts up to the threshold."""
     counts = np.minimum(counts, threshold)
     parts, starts = np.unique(keys >> np.uint64(width), return_index=True)
     cuts = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(keys)])]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(parts.astype(np.int32)),
-            pa.array([int(counts[c].sum()) for c in cuts], type=pa.int64()),
             pa.array([_to_planes(keys[c], width) for c in cuts], type=pa.binary()),
             pa.array([counts[c].astype("<u2").tobytes() for c in cuts], type=pa.binary()),
         ],
-        names=["part", "mass", "keys", "counts"],
+        names=["part", "keys", "counts"],
     )
 
 
-_SUMMED = "part int, mass long, keys binary, counts binary"
+_SUMMED = "part int, keys binary, counts binary"
 
 
 def _read(row: dict, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,42 +230,41 @@ def _summed(docs: DataFrame, bits: int, threshold: int, level_bits: int) -> Data
         hashed = np.concatenate([h for _, _, h in block.hashes()])
         return _dealt(*np.unique(hashed >> shift, return_counts=True), width, threshold)
 
-    blocks = durable(_map_blocks(docs, _SUMMED, rows_of))
+    blocks = _map_blocks(docs, _SUMMED, rows_of)
     while level < bits:
         finer = min(bits, level + level_bits)
-        blocks = durable(_finer(blocks, level, width, finer, threshold))
+        blocks = _finer(blocks, level, width, finer, threshold)
         level, width = finer, width - finer + level
     return blocks
 
 
-def _survivors(blocks: DataFrame, bits: int, threshold: int) -> DataFrame:
-    """Keys that may be frequent: one summary per hash partition, blocks merged as they stream in."""
+def _summary(rows: list[dict], threshold: int) -> Summary:
+    """The summary of one hash partition; its blocks are read first for their mass, then merged."""
+    mass = sum(int(np.frombuffer(row["counts"], dtype="<u2").sum(dtype=np.int64)) for row in rows)
+    summary = Summary(ROOM * mass // threshold + 1)
+    held, size = [], 0
+    for row in rows:
+        held.append(_read(row, KEY_BITS))
+        size += len(held[-1][0])
+        if size > summary.capacity:
+            summary.merge(held)
+            held, size = [], 0
+    summary.merge(held)
+    return summary
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, summary, held, size = None, None, [], 0
 
-        def done() -> pa.RecordBatch:
-            summary.merge(held)
-            keys = summary.frequent(threshold) | np.uint64(part << KEY_BITS)
-            return pa.RecordBatch.from_arrays([pa.array(signed(keys))], names=["key"])
+def _survivors(blocks: DataFrame, bits: int, threshold: int) -> DataFrame:
+    """Keys that may be frequent, from one summary per hash partition.
 
-        for row in _rows(batches):
-            if row["part"] != part:
-                if part is not None:
-                    yield done()
-                part, held, size = row["part"], [], 0
-                summary = Summary(ROOM * row["total"] // threshold + 1)
-            held.append(_read(row, KEY_BITS))
-            size += len(held[-1][0])
-            if size > summary.capacity:
-                summary.merge(held)
-                held, size = [], 0
-        if part is not None:
-            yield done()
+    A partition is a hash's share of about ``PARTITION_BYTES`` of text, so its blocks can be held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in groupby(_rows(batches), itemgetter("part")):
+            keys = _summary(list(rows), threshold).frequent(threshold) | np.uint64(part << KEY_BITS)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(keys))], names=["key"])
 
-    mass = broadcast_if_small(durable(blocks.groupBy("part").agg(F.sum("mass").alias("total"))))
-    named = blocks.join(mass, "part").select("part", "total", "keys", "counts")
-    return _by_part(named, bits).mapInArrow(run, "key long")
+    return _by_part(blocks, bits).mapInArrow(run, "key long")
 
 
 def _places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,29 +310,42 @@ def counted(
     A row without phrase (zero words) per language holds the number of all its words.
     """
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    bits = min(64 - KEY_BITS, max(0, -(-size // partition_bytes) - 1).bit_length())
+    bits = min(62 - KEY_BITS, max(0, -(-size // partition_bytes) - 1).bit_length())
     blocks = _summed(docs, bits, threshold, level_bits)
     survivors = durable(_survivors(blocks, bits, threshold))
     shared = docs.sparkSession.sparkContext.broadcast(_bit_map(survivors))
     shift = np.uint64(64 - KEY_BITS - bits)
 
-    def rows_of(block: Block) -> pa.RecordBatch:
-        langs = [lang for lang, n in block.runs for _ in range(n)]
-        words, found, totals = block.words, Counter(), Counter()
-        for width, at, hashed in block.hashes():
-            places = at.tolist()
-            if width == 1:
-                totals.update(langs[i] for i in places)
-            places = at[_marked(shared.value, hashed >> shift)].tolist()
-            found.update((langs[i], width, b" ".join(words[i : i + width])) for i in places)
-        rows = [(*key, n) for key, n in found.items()] + [(lang, 0, None, n) for lang, n in totals.items()]
-        columns = list(zip(*rows)) or [[]] * 4
-        kinds = (pa.string(), pa.int32(), pa.binary(), pa.int64())
-        arrays = [pa.array(c, type=kind) for c, kind in zip(columns, kinds)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "words", "phrase", "n"])
-
-    each = _map_blocks(docs, _COUNTED, rows_of)
+    def rows_of(found: dict[str, Counter], totals: Counter) -> pa.RecordBatch:
+        langs = [lang for lang, counter in found.items() for _ in counter]
+        phrase = [p for counter in found.values() for p in counter]
+        columns = [
+            pa.array(langs + list(totals), type=pa.string()),
+            pa.array([p.count(b" ") + 1 for p in phrase] + [0] * len(totals), type=pa.int32()),
+            pa.array(phrase + [None] * len(totals), type=pa.binary()).cast(pa.string()),
+            pa.array([n for c in found.values() for n in c.values()] + list(totals.values()), type=pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, totals = defaultdict(Counter), Counter()
+        for block in _blocks(batches):
+            ends = np.cumsum([n for _, n in block.runs])
+            for width, at, hashed in block.hashes():
+                marked = _marked(shared.value, hashed >> shift)
+                for k, (lang, n) in enumerate(block.runs):
+                    inside = slice(*np.searchsorted(at, (ends[k] - n, ends[k])))
+                    if width == 1:
+                        totals[lang] += inside.stop - inside.start
+                    places = at[inside][marked[inside]].tolist()
+                    found[lang].update([b" ".join(block.words[i : i + width]) for i in places])
+            if sum(map(len, found.values())) >= HELD_PHRASES:
+                yield rows_of(found, totals)
+                found, totals = defaultdict(Counter), Counter()
+        if found:
+            yield rows_of(found, totals)
+
+    each = _known(docs).mapInArrow(run, _COUNTED)
     return each.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(
         (F.col("n") >= threshold) | (F.col("words") == 0)
     )
