@@ -1,8 +1,7 @@
 """Entity resolution: identifiers first, then titles contained in names, then similar titles.
 
 Titles are matched on distinct spellings only, through equi-joins on text fragments that every
-true match must share.  Contained titles meet few names that way.  Similar titles share a letter, which
-loses no match but is not selective: the join may emit more rows than titles times spellings.
+true match must share: rare six-letter fragments for contained titles, rare grams for similar ones.
 """
 
 from __future__ import annotations
@@ -28,6 +27,10 @@ _RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate "
 _RARITY = "ABCDEFGHIJKLMNOPQRSTUVWXYZ~"
 _GRAM = 6
 
+#: Gram lengths by which similar titles are looked up, and the ratios that are looked for before the asked one.
+_WIDTHS = (3, 2, 1)
+_LEVELS = (0.95, 0.9)
+
 
 def crosswalk(catalog: DataFrame) -> DataFrame:
     """Catalog identifiers as rows: identifier, id_type and the edition's attributes."""
@@ -149,18 +152,55 @@ def _letter_bits(letters: Column) -> Column:
     return F.aggregate(letters, F.lit(0).cast("bigint"), add)
 
 
-def _with_prefix(df: DataFrame, threshold: float) -> DataFrame:
-    """Add the letters and the leading ones of which a good enough partner must share at least one.
+def _common(a: Column, b: Column, threshold: float) -> Column:
+    """Least number of matched letters with which titles of ``a`` and ``b`` letters reach the ratio."""
+    return F.ceil((a + b) * (threshold / 2) - 1e-9)
+
+
+def _shared(a: Column, b: Column, q: int, threshold: float) -> Column:
+    """Least number of ``q``-grams that such titles share.
+
+    The matched letters lie in blocks in the same order.  A further block needs an unmatched letter before it, so
+    there are at most as many blocks as unmatched letters and one; each loses ``q - 1`` grams.
+    """
+    common = _common(a, b, threshold)
+    return common - (q - 1) * (a + b - 2 * common + 1)
+
+
+def _least_shared(q: int, threshold: float) -> Column:
+    """``_shared`` with the partner's length for which it is least."""
+    size = F.col("size")
+    partners = F.sequence(F.ceil(size * (threshold / (2 - threshold)) - 1e-9), F.floor(size * ((2 - threshold) / threshold) + 1e-9))
+    return F.array_min(F.transform(partners, lambda b: _shared(size, b, q, threshold)))
+
+
+def _numbered_grams(clean: Column, q: int) -> Column:
+    """Hashes of a title's ``q``-grams; equal ones are numbered, so that repeats count."""
+    starts = F.when(F.length(clean) >= q, F.sequence(F.lit(1), F.length(clean) - (q - 1))).otherwise(F.array().cast("array<int>"))
+    grams = F.array_sort(F.transform(starts, lambda i: F.substr(clean, i, F.lit(q))))
+    return F.transform(grams, lambda g, i: F.xxhash64(g, F.array_position(grams, g) - i, F.lit(q)))
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    letters = computed_once(df.where(F.length("clean") > 0), {"letters": _letters(F.col("clean"))})
+    return letters.select(*df.columns, F.size("letters").alias("size"), _letter_bits(F.col("letters")).alias("bits"))
+
+
+def _rarest_first(df: DataFrame, frequency: DataFrame) -> DataFrame:
+    """``grams`` in the order of their measured frequency in the catalog; grams it lacks come first."""
+    each = df.select("clean", "q", F.explode("grams").alias("gram")).join(frequency, "gram", "left")
+    ranked = each.groupBy("clean", "q").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "gram"))).alias("ranked"))
+    return df.drop("grams").join(ranked, ["clean", "q"]).withColumn("grams", F.col("ranked.gram")).drop("ranked")
 
-    A ratio of ``t`` needs ``t / 2`` of both lengths in common, and a partner at least
-    ``t / (2 - t)`` as long; so all but that many letters form the prefix.
+
+def _postings(df: DataFrame, threshold: float) -> DataFrame:
+    """One row for each gram of a title's prefix, with the gram's place in the title's order.
+
+    Two titles that share at least ``n`` grams share one among all but the last ``n - 1`` of each, in any order that
+    is the same for both.
     """
-    a = F.col("size")
-    shortest = F.ceil(a * (threshold / (2 - threshold)) - 1e-9)
-    needed = F.ceil((a + shortest) * (threshold / 2) - 1e-9)
-    sized = computed_once(df, {"letters": _letters(F.col("clean"))}).withColumn("size", F.size("letters"))
-    prefix = F.slice("letters", F.lit(1), F.greatest(a - needed + 1, F.lit(1)).cast("int"))
-    return computed_once(sized, {"prefix": prefix, "bits": _letter_bits(F.col("letters"))})
+    prefix = F.greatest(F.size("grams") - F.greatest("least", F.lit(1)) + 1, F.lit(0)).cast("int")
+    return df.select("*", F.posexplode(F.slice("grams", F.lit(1), prefix)).alias("place", "gram"))
 
 
 def title_candidates(
@@ -168,39 +208,76 @@ def title_candidates(
 ) -> DataFrame:
     """Pairs (clean, candidate) that may reach the threshold; none that could is missing.
 
-    Equi-join on the prefix letters.  A pair is kept at its first common letter only, and only when
-    the lengths and the letters in common allow the ratio; the bit sets settle most pairs without
-    looking at the letters.  A catalog beyond ``broadcast_titles`` is joined by shuffle, each letter
-    split into ``salts`` parts, because a few letters hold most titles.
+    An inverted index over q-grams: a title is looked up by the longest grams of which every good enough partner must
+    share one, rare ones (as counted in the catalog) first, and by no more of them than that takes.  Lengths, letters
+    and the grams' places settle most meetings; a pair is kept once, at its rarest common gram, if the grams in common
+    allow the ratio.  A catalog beyond ``broadcast_titles`` is joined by shuffle, each gram split into ``salts`` parts.
     """
     session = titles.sparkSession
     tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
-    # Few bytes but much work per title: a partitioning of its own, which AQE does not coalesce.
-    left = _with_prefix(titles.select("clean").repartition(tasks, F.xxhash64("clean")), threshold)
-    right = _with_prefix(spellings.select("clean", "catalog_order"), threshold)
-    left = left.withColumn("letter", F.explode("prefix"))
-    right = right.select(F.explode("prefix").alias("letter"), *[F.col(c).alias(f"c_{c}") for c in right.columns])
+    # Few bytes but much work per title: partitionings of their own, which AQE does not coalesce.
+    wanted = _sized(titles.select("clean").repartition(tasks, F.xxhash64("clean")))
+    least = F.array(*[F.struct(F.lit(q).alias("q"), _least_shared(q, threshold).alias("least")) for q in _WIDTHS])
+    wanted = computed_once(wanted, {"fit": F.filter(least, lambda x: (x["least"] >= 1) | (x["q"] == 1))[0]})
+    wanted = wanted.select("clean", "size", "bits", "fit.q", "fit.least")
+    known = _sized(spellings.select("clean", "catalog_order"))
+    known = known.select("*", F.inline(least))
+
+    def with_grams(df: DataFrame) -> DataFrame:
+        grams = F.coalesce(*[F.when(F.col("q") == q, _numbered_grams(F.col("clean"), q)) for q in _WIDTHS])
+        return computed_once(df, {"grams": grams})
+
+    known = durable(with_grams(known))
+    held = known.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
+    held = broadcast_if_small(durable(held))
+    ranked = _rarest_first(with_grams(wanted), held).repartition(tasks, F.xxhash64("clean"))
+    left = _postings(ranked, threshold)
+    right = _postings(_rarest_first(known, held), threshold)
+    right = right.select("gram", *[F.col(c).alias(f"c_{c}") for c in right.columns if c not in ("gram", "q")])
+    size, c_size = F.col("size"), F.col("c_size")
+    needed = F.when(F.col("q") == 1, _shared(size, c_size, 1, threshold))
+    for q in _WIDTHS[:-1]:
+        needed = needed.when(F.col("q") == q, _shared(size, c_size, q, threshold))
+    common = _common(size, c_size, threshold)
+    bits, c_bits = F.col("bits"), F.col("c_bits")
+    rest = F.least(F.size("grams") - F.col("place"), F.size("c_grams") - F.col("c_place"))
+    possible = (
+        (F.least("size", "c_size") >= common)
+        & (size - F.bit_count(bits.bitwiseAND(F.bitwise_not(c_bits))) >= common)
+        & (c_size - F.bit_count(c_bits.bitwiseAND(F.bitwise_not(bits))) >= common)
+        & (rest >= needed)
+    )
     if has_at_most(spellings, broadcast_titles):
-        pairs = left.join(F.broadcast(right), "letter")
+        pairs = left.join(F.broadcast(right), "gram").where(possible)
     else:
         left = left.withColumn("salt", F.pmod(F.hash("clean"), F.lit(salts)))
         right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = left.join(right, ["letter", "salt"])
-
-    least = (F.col("size") + F.col("c_size")) * (threshold / 2) - 1e-9
-    bits, c_bits = F.col("bits"), F.col("c_bits")
-    pairs = pairs.where(
-        (F.least("size", "c_size") >= least)
-        & (F.col("size") - F.bit_count(bits.bitwiseAND(F.bitwise_not(c_bits))) >= least)
-        & (F.col("c_size") - F.bit_count(c_bits.bitwiseAND(F.bitwise_not(bits))) >= least)
-    )
-    pairs = pairs.where(
-        (F.element_at(F.array_intersect("prefix", "c_prefix"), 1) == F.col("letter"))
-        & (F.size(F.array_intersect("letters", "c_letters")) >= least)
-    )
+        pairs = left.join(right, ["gram", "salt"]).where(possible)
+    pairs = computed_once(pairs, {"both": F.array_intersect("grams", "c_grams")})
+    pairs = pairs.where((F.col("both")[0] == F.col("gram")) & (F.size("both") >= needed))
     return pairs.select("clean", F.col("c_clean").alias("candidate"), F.col("c_catalog_order").alias("catalog_order"))
 
 
+def _best_similar(titles: DataFrame, spellings: DataFrame, threshold: float) -> DataFrame:
+    """Best spelling of each of ``titles(clean)`` that has one: (clean, catalog_order, score).
+
+    High ratios are looked for first, where few grams lead to a partner: what is found there cannot be beaten by
+    what a lower one would add, so only titles that are still open are looked up again.
+    """
+    found = None
+    for level in [x for x in _LEVELS if x > threshold] + [threshold]:
+        pairs = title_candidates(titles, spellings, level)
+        scored = pairs.withColumn("score", similarity("clean", "candidate")).where(F.col("score") >= level)
+        best = durable(scored.groupBy("clean").agg(
+            F.max_by("catalog_order", F.struct("score", -F.col("catalog_order"))).alias("catalog_order"),
+            F.max("score").alias("score"),
+        ))
+        found = best if found is None else found.unionByName(best)
+        if level > threshold:
+            titles = durable(titles.join(broadcast_if_small(best.select("clean")), "clean", "left_anti"))
+    return found
+
+
 def fuzzy_title_match(df: DataFrame, catalog: DataFrame, title: str = "book_title", threshold: float = 0.75) -> DataFrame:
     """Best catalog title for each distinct title, at least ``threshold`` similar; first one on ties.
 
@@ -213,12 +290,8 @@ def fuzzy_title_match(df: DataFrame, catalog: DataFrame, title: str = "book_titl
     split = wanted.select("clean").distinct().join(known, "clean", "left")
     exact = split.where(F.col("catalog_order").isNotNull()).select("clean", "catalog_order", F.lit(1.0).alias("score"))
 
-    pairs = title_candidates(split.where(F.col("catalog_order").isNull()), spellings, threshold)
-    scored = pairs.withColumn("score", similarity("clean", "candidate")).where(F.col("score") >= threshold)
-    best = scored.groupBy("clean").agg(
-        F.max_by("catalog_order", F.struct("score", -F.col("catalog_order"))).alias("catalog_order"),
-        F.max("score").alias("score"),
-    )
+    rest = durable(split.where(F.col("catalog_order").isNull()).select("clean"))
+    best = _best_similar(rest, durable(spellings), threshold)
     editions = broadcast_if_small(spellings.select("catalog_order", *MATCHED), counted=catalog)
     return exact.unionByName(best).join(editions, "catalog_order").join(wanted, "clean").select(
         title, "score", "catalog_order", *MATCHED

@@ -54,6 +54,11 @@ _PRICED = """
     FROM sales"""
 
 
+def _long_clean(title: str) -> str:
+    bare = f"regexp_replace(regexp_replace(trim(lower({title})), '\\s*:\\s*.*$', ''), '\\s*\\([^)]*\\)', '', 'g')"
+    return f"trim(replace({bare}, '&', 'and'))"
+
+
 def _usd(amount: str) -> str:
     return (
         f"CASE WHEN upper(trim(p.currency)) = 'USD' THEN round(CAST(p.{amount} AS DECIMAL(28,6)), 2) "
@@ -140,6 +145,56 @@ ORACLES = {
                     WHEN contains(clean, 'paperback') AND contains(clean, 'deluxe') THEN 'deluxe paperback' END
                    AS edition_format
         FROM hits QUALIFY row_number() OVER (PARTITION BY product_name ORDER BY length(title) DESC, catalog_order) = 1""",
+    # Ratcliff/Obershelp by segments: equal letters form diagonal runs, the longest run inside a segment (earliest in the
+    # title, then in the candidate) is matched, and what lies left and right of it goes on as two segments.
+    "fuzzy_title_match": ctes("catalog", spelled="""
+        SELECT CASE WHEN CAST(kenp_page_count AS INTEGER) <= 15 THEN substring(display_title, 1, 3) || substring(display_title, 5)
+                    WHEN CAST(kenp_page_count AS INTEGER) <= 30 THEN 'The ' || display_title
+                    WHEN CAST(kenp_page_count AS INTEGER) <= 40 THEN display_title || ': Large Print'
+                    ELSE reverse(display_title) END AS book_title FROM catalog
+        UNION ALL SELECT c_name FROM customer""", names=f"""
+        SELECT DISTINCT book_title, {_long_clean('book_title')} AS clean FROM spelled WHERE book_title IS NOT NULL""", known=f"""
+        SELECT clean, min(catalog_order) AS catalog_order
+        FROM (SELECT {_long_clean('display_title')} AS clean, catalog_order FROM catalog) GROUP BY clean""", open_titles="""
+        SELECT DISTINCT clean FROM names WHERE clean NOT IN (SELECT clean FROM known)""", strings="""
+        SELECT clean, row_number() OVER () AS id, length(clean) AS size, clean IN (SELECT clean FROM open_titles) AS open
+        FROM (SELECT clean FROM open_titles UNION SELECT clean FROM known)""", letters="""
+        SELECT id, open, size, ascii(letter) * 256 + row_number() OVER (PARTITION BY id, letter) AS letter
+        FROM (SELECT id, open, size, unnest(string_split(clean, '')) AS letter FROM strings)""", pairs="""
+        SELECT row_number() OVER () AS pair, a.clean, b.clean AS candidate, a.size, b.size AS c_size
+        FROM (SELECT a.id, b.id AS c_id
+              FROM letters a JOIN letters b ON a.letter = b.letter AND a.open AND NOT b.open
+                AND 8 * least(a.size, b.size) >= 3 * (a.size + b.size)
+              GROUP BY a.id, b.id HAVING 8 * count(*) >= 3 * (any_value(a.size) + any_value(b.size)))
+        JOIN strings a USING (id) JOIN strings b ON b.id = c_id""", places="""
+        SELECT pair, i, j, i - j AS diagonal
+        FROM (SELECT pair, clean, candidate, i, unnest(range(1, c_size + 1)) AS j
+              FROM (SELECT *, unnest(range(1, size + 1)) AS i FROM pairs))
+        WHERE substring(clean, i, 1) = substring(candidate, j, 1)""", runs="""
+        SELECT pair, diagonal, min(i) AS first, max(i) + 1 AS past
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY pair, diagonal ORDER BY i) AS run FROM places)
+        GROUP BY pair, diagonal, run""", segments="""
+        SELECT pair, 1 AS lo, size + 1 AS hi, 1 AS c_lo, c_size + 1 AS c_hi, 0 AS matched FROM pairs
+        UNION ALL
+        SELECT pair, CASE WHEN side = 0 THEN lo ELSE best.start + best.size END, CASE WHEN side = 0 THEN best.start ELSE hi END,
+               CASE WHEN side = 0 THEN c_lo ELSE best.start - best.diagonal + best.size END,
+               CASE WHEN side = 0 THEN best.start - best.diagonal ELSE c_hi END, CASE WHEN side = 0 THEN best.size ELSE 0 END
+        FROM (
+            SELECT pair, lo, hi, c_lo, c_hi,
+                   arg_max({'start': start, 'diagonal': diagonal, 'size': past - start}, (past - start, -start, diagonal)) AS best
+            FROM (SELECT s.pair, lo, hi, c_lo, c_hi, diagonal, greatest(first, lo, c_lo + diagonal) AS start,
+                         least(past, hi, c_hi + diagonal) AS past
+                  FROM segments s JOIN runs r ON s.pair = r.pair)
+            WHERE past > start GROUP BY pair, lo, hi, c_lo, c_hi), (SELECT unnest([0, 1]) AS side)""", scored="""
+        SELECT clean, candidate, 2 * CAST(sum(matched) AS DOUBLE) / (size + c_size) AS score
+        FROM segments JOIN pairs USING (pair) GROUP BY pair, clean, candidate, size, c_size""", best="""
+        SELECT clean, catalog_order, CAST(1 AS DOUBLE) AS score FROM names JOIN known USING (clean) GROUP BY ALL
+        UNION ALL
+        SELECT clean, catalog_order, score FROM (
+            SELECT s.clean, k.catalog_order, score FROM scored s JOIN known k ON k.clean = s.candidate WHERE score >= 0.75
+            QUALIFY row_number() OVER (PARTITION BY s.clean ORDER BY score DESC, k.catalog_order) = 1)""") + """
+        SELECT book_title, round(score, 6) AS score, catalog_order, series, canonical_work_slug, edition_format
+        FROM names JOIN best USING (clean) JOIN catalog USING (catalog_order)""",
     "match_rate": ctes("catalog", crosswalk=_CROSSWALK, best=_BEST, keyed=_LINES, enriched=_ENRICHED) + """
         SELECT source_platform, count(series) AS matched, count(*) AS total,
                CAST(round(CAST(count(series) * 100.0 / count(*) AS DECIMAL(12,6)), 1) AS DOUBLE) AS match_pct

@@ -100,3 +100,24 @@ def test_shuffled_dimension_join_gives_the_same_rows(spark):
 def test_without_catalog(spark):
     df = resolve.enrich(spark.createDataFrame([("x",)], "id string"), "id", None)
     assert [tuple(r) for r in df.select("id", "series", "canonical_work_slug").collect()] == [("x", None, "x")]
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.75, 0.92])
+def test_candidates_are_complete_and_few(spark, threshold):
+    """No pair that reaches the ratio is missing, each comes once, and most others never meet."""
+    choice = random.Random(8)
+    words = ["".join(choice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(choice.randint(2, 8))) for _ in range(60)]
+    titles = [" ".join(choice.choice(words) for _ in range(choice.randint(1, 5))) for _ in range(120)] + ["a", "aa", "aaaaaaaa", "é"]
+    names = []
+    for title in titles:
+        for _ in range(2):
+            at = choice.randrange(len(title))
+            names.append(title[:at] + choice.choice(["", "x", " the ", "aa"]) + title[at + choice.randint(0, 2):])
+    names = sorted({n for n in names if n} - set(titles))
+    left = spark.createDataFrame([(n,) for n in names], "clean string")
+    right = spark.createDataFrame(list({t: (t, k) for k, t in enumerate(titles)}.values()), "clean string, catalog_order long")
+    got = [(r.clean, r.candidate) for r in resolve.title_candidates(left, right, threshold).collect()]
+    assert len(got) == len(set(got))
+    reach = {(n, t) for n in names for t in titles if SequenceMatcher(None, n, t).ratio() >= threshold}
+    assert reach <= set(got)
+    assert len(got) - len(reach) < 0.05 * len(names) * len(titles)
