@@ -19,4 +19,9 @@ ORACLES = {
         SELECT source_platform, count(*) AS n, min(sale_date) AS first, max(sale_date) AS last,
                {m2('sum(royalty_amount_usd)')} AS revenue
         FROM sales WHERE sale_date BETWEEN DATE '1997-01-15' AND DATE '1998-12-31' GROUP BY 1""",
+    "append_fact": ctes("sales") + f"""
+        SELECT source_platform, count(*) AS n, count(DISTINCT date_trunc('month', sale_date)) AS months,
+               {m2('sum(royalty_amount_usd)')} AS revenue,
+               count(DISTINCT year(sale_date)) FILTER (sale_date >= DATE '1997-01-01') AS added
+        FROM sales GROUP BY 1""",
 }
