@@ -26,17 +26,17 @@ def percent_to_fraction(col: Column) -> Column:
     return (number / F.lit(100)).cast("decimal(12,6)")
 
 
-def parse_money(col: Column) -> Column:
-    """An amount as printed on a statement; anything unreadable is 0.
-
-    Brackets negate, currency signs and letters are ignored, and the last separator is the decimal
-    mark.  A lone comma is decimal when at most two digits follow it, otherwise it groups thousands.
-    Only plain string functions are used: this runs several times per statement line.
-    """
+def money_parts(col: Column) -> dict[str, Column]:
+    """What ``money_of`` reads from a cell; columns of their own where many cells of a row are parsed."""
     text = strip(col.cast("string"))
-    opened, closed = text.startswith("("), text.endswith(")")
-    body = F.btrim(F.translate(text, _SYMBOLS + _LETTERS, ""), F.lit("() "))
+    return {
+        "body": F.btrim(F.translate(text, _SYMBOLS + _LETTERS, ""), F.lit("() ")),
+        "sign": text.startswith("(").cast("int") + 2 * text.endswith(")").cast("int"),
+    }
 
+
+def money_of(body: Column, brackets: Column) -> Column:
+    """The amount of a cell's digits and marks, and its brackets (1 opened, 2 closed, 3 both)."""
     no_comma = F.translate(body, ",", "")
     comma_is_point = F.translate(F.translate(body, ".", ""), ",", ".")
     after_comma, after_point = (F.length(F.substring_index(body, mark, -1)) for mark in (",", "."))
@@ -48,10 +48,21 @@ def parse_money(col: Column) -> Column:
         .otherwise(no_comma)
     )
     amount = F.coalesce(plain.try_cast(NUMBER), F.lit(0).cast(NUMBER))
-    sign = F.when(opened & closed, -1).when(opened | closed, 0).otherwise(1)
+    sign = F.when(brackets == 3, -1).when(brackets > 0, 0).otherwise(1)
     return F.coalesce((amount * sign).cast(NUMBER), F.lit(0).cast(NUMBER))
 
 
+def parse_money(col: Column) -> Column:
+    """An amount as printed on a statement; anything unreadable is 0.
+
+    Brackets negate, currency signs and letters are ignored, and the last separator is the decimal
+    mark.  A lone comma is decimal when at most two digits follow it, otherwise it groups thousands.
+    Only plain string functions are used: this runs several times per statement line.
+    """
+    parts = money_parts(col)
+    return money_of(parts["body"], parts["sign"])
+
+
 def is_money_token(col: Column) -> Column:
     """Whether one blank-delimited token looks like an amount."""
     return F.translate(col, _SYMBOLS, "").rlike(r"^\(?-?[\d.,]+\)?$")
