@@ -38,7 +38,7 @@ ABSORBED = 50
 #: Words that are combined in a task before they are handed on.
 BLOCK_WORDS = 1 << 19
 #: Different phrases that a task holds in the second pass before it hands them on.
-HELD_PHRASES = 700_000
+HELD_PHRASES = 1_200_000
 #: Text bytes for each hash partition; a summary holds ``ROOM`` times its mass over the threshold.
 PARTITION_BYTES = 4 << 20
 ROOM = 4
