@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import strip
 
-NUMBER = "decimal(18,4)"
+NUMBER = "decimal(24,4)"  # twenty digits before the point
 _SYMBOLS = "€£¥$"
 _LETTERS = string.ascii_letters
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.functions.numbers import NUMBER
+
 
 def rename_by_map(df: DataFrame, mapping: Mapping[str, str | None]) -> DataFrame:
     """Rename by dictionary after trimming header names; a ``None`` target drops the column.
@@ -41,9 +43,10 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def to_target(df: DataFrame, schema: StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """Exactly the target columns in order; a missing column or NULL cell takes its default."""
+def to_target(df: DataFrame, schema: StructType | str, defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """Exactly the target columns (a schema or its DDL) in order; a missing column or NULL cell takes its default."""
     defaults = defaults or {}
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns = []
     for field in schema.fields:
         value = F.col(field.name) if field.name in df.columns else F.lit(None)
@@ -132,5 +135,5 @@ def unpivot_crosstab(
 ) -> DataFrame:
     """Cross-tab columns to rows, using the value columns that exist and keeping positive amounts."""
     present = [c for c in value_columns if c in df.columns]
-    amounts = df.select(*ids, *[F.col(c).try_cast("decimal(18,4)").alias(c) for c in present])
+    amounts = df.select(*ids, *[F.col(c).try_cast(NUMBER).alias(c) for c in present])
     return filter_positive(amounts.unpivot(ids, present, variable, value), value)

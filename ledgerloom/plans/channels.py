@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import parse_date, parse_period_name
 from ledgerloom.functions.identifiers import first_identifier
-from ledgerloom.functions.numbers import percent_to_fraction
+from ledgerloom.functions.numbers import NUMBER, percent_to_fraction
 from ledgerloom.functions.text import blank_to_null, clean_market, classify_binding, infer_edition, strip, unwrap_formula
 from ledgerloom.operators import pool, shape, statements
 from ledgerloom.operators.fx import to_usd
@@ -88,7 +88,7 @@ def normalize_page_reads(
     spent = detail.select(
         parse_date(F.col("Royalty Date"), ("yyyy-MM",)).alias("month"),
         F.col("Currency").alias("currency"),
-        F.col("Royalty").try_cast("decimal(18,4)").alias("royalty"),
+        F.col("Royalty").try_cast(NUMBER).alias("royalty"),
     )
     paid = pool.allocate_pool(pool.unpivot_summary(months, SUMMARY_CURRENCIES), spent, reads)
     titled = paid if "book_title" in paid.columns else paid.withColumn("book_title", F.lit(None).cast("string"))

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
 
 from ledgerloom.functions.dates import MIXED_FORMATS, parse_date
 from ledgerloom.functions.identifiers import normalize_isbn
@@ -19,19 +18,12 @@ from ledgerloom.functions.numbers import coerce_number
 from ledgerloom.operators.shape import drop_columns, fill_default, rename_by_map
 from ledgerloom.plans.lookups import PERSONAL_COLUMNS
 
-_TYPES = {"s": StringType(), "d": DateType(), "i": LongType(), "m": DecimalType(18, 4), "r": DecimalType(28, 12)}
-
-
-def fact(columns: str) -> StructType:
-    """A fact schema from ``name:type`` words; types s(tring), d(ate), i(nteger), m(oney), r(ate)."""
-    pairs = [word.split(":") for word in columns.split()]
-    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
 @dataclass(frozen=True)
 class SourceSpec:
+    """``rename`` maps report headers to names, ``None`` drops one; ``fact`` is the fact's schema as DDL."""
+
     platform: str
-    fact: StructType
+    fact: str
     rename: Mapping[str, str | None] = field(default_factory=dict)
     numbers: tuple[str, ...] = ()
     number_default: float | None = 0
@@ -50,9 +42,11 @@ def standardize(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     return fill_default(df.withColumns(typed), spec.defaults).withColumn("source_platform", F.lit(spec.platform))
 
 
-_SALES = fact(
-    "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s region:s currency:s"
-    " quantity:i price:m price_usd:m royalty_amount:m royalty_amount_usd:m royalty_rate:m"
+_SALES = (
+    "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+    "edition_format STRING, region STRING, currency STRING, quantity BIGINT, price DECIMAL(28,4), "
+    "price_usd DECIMAL(28,4), royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4), "
+    "royalty_rate DECIMAL(28,4)"
 )
 # fixed values below: report headers, platform names and fact columns
 AUDIO_MONTHLY = SourceSpec(
@@ -84,41 +78,52 @@ EBOOK_SALES = SourceSpec(
 
 PAGE_READS = SourceSpec(
     platform="amazon_kdp_ku",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s marketplace:s region:s"
-        " currency:s page_count:i rate_per_page:r royalty_amount:m royalty_amount_usd:m kenp_page_count:i equivalent_copies:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+        "edition_format STRING, marketplace STRING, region STRING, currency STRING, page_count BIGINT, "
+        "rate_per_page DECIMAL(28,12), royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4), "
+        "kenp_page_count BIGINT, equivalent_copies DECIMAL(28,4)"
     ),
     rename={"Date": "sale_date", "eBook ASIN": "book_identifier", "Marketplace": "marketplace", "KENP": "page_count", "Title": "book_title"},
     numbers=("page_count",),
     date_formats=("yyyy-MM-dd",),
 )
 
-_MEMBERSHIP_MONEY = (
-    "gross_web_android", "gross_ios", "gross_total", "platform_fees", "processing_fees", "exchange_fee", "ios_app_fee",
-    "merch_costs", "total_processing_fees", "refunds", "adjustments", "recovered_payments", "net_earnings",
-)
-_MEMBERSHIP_HEADERS = (
-    "Membership gross earnings - Web and Android", "Membership gross earnings - iOS app", "Total gross earnings",
-    "Patreon platform fees", "Payment processing fees", "Currency exchange fee", "iOS app fee",
-    "Merch costs (items + shipping)", "Total payment processing fees", "Refunds", "Patreon adjustments",
-    "Recovered payments", "Total net earnings",
-)
+_MEMBERSHIP_AMOUNTS = {
+    "Membership gross earnings - Web and Android": "gross_web_android",
+    "Membership gross earnings - iOS app": "gross_ios",
+    "Total gross earnings": "gross_total",
+    "Patreon platform fees": "platform_fees",
+    "Payment processing fees": "processing_fees",
+    "Currency exchange fee": "exchange_fee",
+    "iOS app fee": "ios_app_fee",
+    "Merch costs (items + shipping)": "merch_costs",
+    "Total payment processing fees": "total_processing_fees",
+    "Refunds": "refunds",
+    "Patreon adjustments": "adjustments",
+    "Recovered payments": "recovered_payments",
+    "Total net earnings": "net_earnings",
+}
 MEMBERSHIPS = SourceSpec(
     platform="patreon",
-    fact=fact("sale_date:d source_platform:s currency:s " + " ".join(f"{c}:m" for c in _MEMBERSHIP_MONEY)),
-    rename={
-        "Month - successful transactions": "sale_date", "Currency": "currency", **dict(zip(_MEMBERSHIP_HEADERS, _MEMBERSHIP_MONEY))
-    },
-    numbers=_MEMBERSHIP_MONEY,
+    fact=(
+        "sale_date DATE, source_platform STRING, currency STRING, gross_web_android DECIMAL(28,4), gross_ios DECIMAL(28,4), "
+        "gross_total DECIMAL(28,4), platform_fees DECIMAL(28,4), processing_fees DECIMAL(28,4), exchange_fee DECIMAL(28,4), "
+        "ios_app_fee DECIMAL(28,4), merch_costs DECIMAL(28,4), total_processing_fees DECIMAL(28,4), refunds DECIMAL(28,4), "
+        "adjustments DECIMAL(28,4), recovered_payments DECIMAL(28,4), net_earnings DECIMAL(28,4)"
+    ),
+    rename={"Month - successful transactions": "sale_date", "Currency": "currency", **_MEMBERSHIP_AMOUNTS},
+    numbers=tuple(_MEMBERSHIP_AMOUNTS.values()),
     date_formats=("yyyy-MM",),
     defaults={"currency": "USD"},
 )
 
 SHOP = SourceSpec(
     platform="woocommerce",
-    fact=fact(
-        "sale_date:d period_start:d period_end:d source_platform:s product_name:s sku:s category:s items_sold:i net_sales:m"
-        " orders_count:i canonical_work_slug:s series:s edition_format:s"
+    fact=(
+        "sale_date DATE, period_start DATE, period_end DATE, source_platform STRING, product_name STRING, sku STRING, "
+        "category STRING, items_sold BIGINT, net_sales DECIMAL(28,4), orders_count BIGINT, canonical_work_slug STRING, "
+        "series STRING, edition_format STRING"
     ),
     rename={
         "Product title": "product_name", "SKU": "sku", "Items sold": "items_sold", "Net sales": "net_sales",
@@ -130,19 +135,23 @@ SHOP = SourceSpec(
 
 STATEMENTS = SourceSpec(
     platform="audiobooks_unleashed",
-    fact=fact(
-        "sale_date:d source_platform:s book_isbn:s display_title:s distributor:s region_code:s quantity:i gross_local:m"
-        " received_local:m fee_local:m payable_local:m royalty_rate_pct:m royalty_amount_local:m currency:s"
-        " royalty_amount_usd:m canonical_work_slug:s series:s edition_format:s"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_isbn STRING, display_title STRING, distributor STRING, "
+        "region_code STRING, quantity BIGINT, gross_local DECIMAL(28,4), received_local DECIMAL(28,4), "
+        "fee_local DECIMAL(28,4), payable_local DECIMAL(28,4), royalty_rate_pct DECIMAL(28,4), "
+        "royalty_amount_local DECIMAL(28,4), currency STRING, royalty_amount_usd DECIMAL(28,4), "
+        "canonical_work_slug STRING, series STRING, edition_format STRING"
     ),
 )
 
 WIDE_EBOOKS = SourceSpec(
     platform="draft2digital",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s distributor:s vendor:s"
-        " country:s quantity:i units_returned:i list_price:m offer_price:m currency:s royalty_amount:m royalty_amount_usd:m"
-        " royalty_rate:m fee_per_unit:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+        "edition_format STRING, distributor STRING, vendor STRING, country STRING, quantity BIGINT, "
+        "units_returned BIGINT, list_price DECIMAL(28,4), offer_price DECIMAL(28,4), currency STRING, "
+        "royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4), royalty_rate DECIMAL(28,4), "
+        "fee_per_unit DECIMAL(28,4)"
     ),
     rename={
         "Start Date": None, "End Date": "sale_date", "Title ID": None, "Ebook ISBN": "book_identifier", "Title": None,
@@ -159,10 +168,12 @@ WIDE_EBOOKS = SourceSpec(
 
 PRESS = SourceSpec(
     platform="barnes_noble",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s bn_identifier:s canonical_work_slug:s series:s edition_format:s title:s"
-        " source_format:s list_price:m sale_price:m selling_currency:s payment_currency:s units_sold:i units_returned:i"
-        " quantity:i royalty_rate:m royalty_per_unit:m royalty_amount:m royalty_amount_usd:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, bn_identifier STRING, "
+        "canonical_work_slug STRING, series STRING, edition_format STRING, title STRING, source_format STRING, "
+        "list_price DECIMAL(28,4), sale_price DECIMAL(28,4), selling_currency STRING, payment_currency STRING, "
+        "units_sold BIGINT, units_returned BIGINT, quantity BIGINT, royalty_rate DECIMAL(28,4), "
+        "royalty_per_unit DECIMAL(28,4), royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4)"
     ),
     rename={
         "Sale Date": "sale_date", "Title": "title", "Format": "source_format", "BN ID / ISBN": "bn_identifier",
@@ -180,12 +191,14 @@ PRESS = SourceSpec(
 
 STORE_INVOICES = SourceSpec(
     platform="kobo_store",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s country:s state:s"
-        " zip_code:s content_type:s imprint:s title:s quantity:i refund_reason:s deal_id:s list_price:m"
-        " tax_excluded_list_price:m cogs_percentage:m cogs_amount_lp:m lp_currency:s fx_rate:m cogs_payable:m cogs_based_lp:m"
-        " cogs_based_lp_excl_tax:m cogs_based_lp_currency:s cogs_adjustment:m currency:s royalty_amount:m royalty_amount_usd:m"
-        " total_tax:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+        "edition_format STRING, country STRING, state STRING, zip_code STRING, content_type STRING, imprint STRING, "
+        "title STRING, quantity BIGINT, refund_reason STRING, deal_id STRING, list_price DECIMAL(28,4), "
+        "tax_excluded_list_price DECIMAL(28,4), cogs_percentage DECIMAL(28,4), cogs_amount_lp DECIMAL(28,4), "
+        "lp_currency STRING, fx_rate DECIMAL(28,4), cogs_payable DECIMAL(28,4), cogs_based_lp DECIMAL(28,4), "
+        "cogs_based_lp_excl_tax DECIMAL(28,4), cogs_based_lp_currency STRING, cogs_adjustment DECIMAL(28,4), "
+        "currency STRING, royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4), total_tax DECIMAL(28,4)"
     ),
     rename={
         "Date": "sale_date", "Country": "country", "State": "state", "Zip Code": "zip_code", "Content Type": "content_type",
@@ -209,11 +222,14 @@ STORE_INVOICES = SourceSpec(
 
 SUBSCRIPTION_READS = SourceSpec(
     platform="kobo_plus",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s region:s content_type:s"
-        " title:s list_price_tax_in:m list_price_tax_out:m list_price_currency:s read_threshold_pct:m quantity:i"
-        " total_payable_raw:m fx_rate:m total_payable_converted:m currency:s value_per_minute:m total_minutes:m"
-        " revenue_per_title:m royalty_rate:m royalty_amount:m royalty_amount_usd:m total_tax:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+        "edition_format STRING, region STRING, content_type STRING, title STRING, list_price_tax_in DECIMAL(28,4), "
+        "list_price_tax_out DECIMAL(28,4), list_price_currency STRING, read_threshold_pct DECIMAL(28,4), "
+        "quantity BIGINT, total_payable_raw DECIMAL(28,4), fx_rate DECIMAL(28,4), "
+        "total_payable_converted DECIMAL(28,4), currency STRING, value_per_minute DECIMAL(28,4), "
+        "total_minutes DECIMAL(28,4), revenue_per_title DECIMAL(28,4), royalty_rate DECIMAL(28,4), "
+        "royalty_amount DECIMAL(28,4), royalty_amount_usd DECIMAL(28,4), total_tax DECIMAL(28,4)"
     ),
     rename={
         "Read Period": "sale_date", "Publisher name": None, "eISBN": "book_identifier", "Author": None, "Title": "title",
@@ -242,28 +258,44 @@ _PRINT_RENAMED = {
     "wholesale_discount_%": "wholesale_discount_pct", "MTD_avg_discount_%": "mtd_avg_discount_pct",
     "MTD_net_quantity": "quantity", "MTD_pub_comp": "royalty_amount", "reporting_currency_code": "currency",
 }
-_PRINT_MONEY = tuple(
-    "list_price wholesale_discount_pct quantity mtd_avg_list_price mtd_extended_list mtd_avg_discount_pct"
-    " mtd_extended_discount mtd_avg_wholesale_price mtd_extended_wholesale mtd_avg_print_charge mtd_extended_print_charge"
-    " mtd_gross_pub_comp mtd_extended_adjustments mtd_extended_recovery royalty_amount mtd_return_quantity"
-    " mtd_return_wholesale mtd_return_charge mtd_return_total mtd_net_wholesale mtd_net_pub_comp mtd_wholesale_tax"
-    " mtd_print_charge_tax mtd_return_wholesale_tax mtd_return_charge_tax mtd_global_distribution_fee"
-    " mtd_global_distribution_fee_tax".split()
+_PRINT_AMOUNTS = (
+    "list_price", "wholesale_discount_pct", "quantity", "mtd_avg_list_price", "mtd_extended_list", "mtd_avg_discount_pct",
+    "mtd_extended_discount", "mtd_avg_wholesale_price", "mtd_extended_wholesale", "mtd_avg_print_charge",
+    "mtd_extended_print_charge", "mtd_gross_pub_comp", "mtd_extended_adjustments", "mtd_extended_recovery",
+    "royalty_amount", "mtd_return_quantity", "mtd_return_wholesale", "mtd_return_charge", "mtd_return_total",
+    "mtd_net_wholesale", "mtd_net_pub_comp", "mtd_wholesale_tax", "mtd_print_charge_tax", "mtd_return_wholesale_tax",
+    "mtd_return_charge_tax", "mtd_global_distribution_fee", "mtd_global_distribution_fee_tax",
 )
 PRINT_DROPPED = (
     "publisher_number", "publisher_name", "author", "sku", "cancelled_date", "nonreturnable_date", "deferral_balance",
     "original_deferral_amount", *[f"customer_flexfield{i}" for i in range(1, 6)],
 )
+PRINT_HEADERS = (
+    "isbn_13", "isbn", "title", "publisher_imprint", "binding_type", "book_type_id", "page_count", "sales_category", "market",
+    "parent_isbn", "period_name", "returns_flag_value", "title_status_flag_value", "list_price", "wholesale_discount_%",
+    "MTD_avg_discount_%", "MTD_net_quantity", "MTD_pub_comp", "YTD_net_quantity", "YTD_pub_comp", "reporting_currency_code",
+    *PRINT_DROPPED, *[c for c in _PRINT_AMOUNTS if c.startswith("mtd_")],
+    *[c.replace("mtd_", "YTD_") for c in _PRINT_AMOUNTS if c.startswith("mtd_")],
+)
 PRINT = SourceSpec(
     platform="ingram_spark",
-    fact=fact(
-        "sale_date:d source_platform:s book_identifier:s canonical_work_slug:s series:s edition_format:s country:s title:s"
-        " publisher_imprint:s binding_type_raw:s book_type_id:s page_count:i sales_category:s returns_flag:s"
-        " title_status_flag:s parent_isbn:s "
-        + " ".join(f"{c}:{'i' if c == 'quantity' else 'm'}" for c in _PRINT_MONEY)
-        + " currency:s royalty_amount_usd:m"
+    fact=(
+        "sale_date DATE, source_platform STRING, book_identifier STRING, canonical_work_slug STRING, series STRING, "
+        "edition_format STRING, country STRING, title STRING, publisher_imprint STRING, binding_type_raw STRING, "
+        "book_type_id STRING, page_count BIGINT, sales_category STRING, returns_flag STRING, title_status_flag STRING, "
+        "parent_isbn STRING, list_price DECIMAL(28,4), wholesale_discount_pct DECIMAL(28,4), quantity BIGINT, "
+        "mtd_avg_list_price DECIMAL(28,4), mtd_extended_list DECIMAL(28,4), mtd_avg_discount_pct DECIMAL(28,4), "
+        "mtd_extended_discount DECIMAL(28,4), mtd_avg_wholesale_price DECIMAL(28,4), "
+        "mtd_extended_wholesale DECIMAL(28,4), mtd_avg_print_charge DECIMAL(28,4), "
+        "mtd_extended_print_charge DECIMAL(28,4), mtd_gross_pub_comp DECIMAL(28,4), "
+        "mtd_extended_adjustments DECIMAL(28,4), mtd_extended_recovery DECIMAL(28,4), royalty_amount DECIMAL(28,4), "
+        "mtd_return_quantity DECIMAL(28,4), mtd_return_wholesale DECIMAL(28,4), mtd_return_charge DECIMAL(28,4), "
+        "mtd_return_total DECIMAL(28,4), mtd_net_wholesale DECIMAL(28,4), mtd_net_pub_comp DECIMAL(28,4), "
+        "mtd_wholesale_tax DECIMAL(28,4), mtd_print_charge_tax DECIMAL(28,4), mtd_return_wholesale_tax DECIMAL(28,4), "
+        "mtd_return_charge_tax DECIMAL(28,4), mtd_global_distribution_fee DECIMAL(28,4), "
+        "mtd_global_distribution_fee_tax DECIMAL(28,4), currency STRING, royalty_amount_usd DECIMAL(28,4)"
     ),
     rename=_PRINT_RENAMED,
-    numbers=("page_count", *_PRINT_MONEY),
+    numbers=("page_count", *_PRINT_AMOUNTS),
     defaults={"currency": "USD"},
 )

@@ -17,7 +17,7 @@ def one(spark, expression, *values):
 MONEY = {
     "(10.37)": -10.37, "€1.234,56": 1234.56, "14,97": 14.97, "1,200": 1200, "-": 0, "": 0, "abc": 0, "1.234.567": 0,
     "1,234.56": 1234.56, "USD 12.50": 12.5, "($1,234.00)": -1234, "-3.50": -3.5, "(5": 0, "1,234,567": 1234567, "£0,5": 0.5,
-    "12 34": 0, " 7 ": 7,
+    "12 34": 0, " 7 ": 7, "$12,345,678,901,234,567,890.50": 12345678901234567890.5,
 }
 IDENTIFIERS = {
     "978-1-2345": "97812345", "9781234567890.0": "9781234567890", "'b00x": "B00X", "A1.0": "A1.0", None: None, "  x-1 ": "X1",
