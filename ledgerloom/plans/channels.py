@@ -39,7 +39,7 @@ SALES_USD = {**ROYALTY_USD, "price": "price_usd"}
 
 def normalize_audio_monthly(raw: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
     """Monthly audio sales; the month comes from ``file_name``."""
-    cells = [c for c in raw.columns if c != "file_name"]
+    cells = [c for c in raw.columns if c not in ("file_name", "line_no")]
     start, _ = period_of(F.col("file_name"))
     dated = shape.drop_blank_rows(raw, cells).withColumn("sale_date", start)
     rows = standardize(drop_null_dates(dated), layouts.AUDIO_MONTHLY)

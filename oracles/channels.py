@@ -171,6 +171,32 @@ _WAREHOUSE_FACTS = {
     "fact_store_invoices": "store_invoices", "fact_subscription_reads": "subscription_reads", "fact_print": "print",
 }
 
+_REPORTS = {
+    "audio_monthly": "SELECT count(DISTINCT month) FROM base", "audio_crosstab": "SELECT count(DISTINCT month) FROM base",
+    "memberships": "SELECT count(DISTINCT o_orderpriority) FROM orders",
+    "shop": """
+        SELECT count(DISTINCT CASE o_orderstatus WHEN 'P' THEN 'export' ELSE o_orderstatus || strftime(o_orderdate, '%Y-%m') END)
+        FROM orders JOIN shop_names USING (o_orderkey)""",
+}
+
+
+def _ingested(layout: str, source: str, total: str) -> str:
+    return f"""
+        SELECT '{layout}' AS layout, ({_REPORTS.get(layout, 'SELECT 1')}) AS reports, count(*) AS row_count,
+               {m2(f'sum({total})')} AS measure_total FROM {source}"""
+
+
+_INGESTED = [
+    *[_ingested(n, f"out_{n}", "usd") for n in FACTS],
+    _ingested("memberships", "memberships", "CAST(net_earnings AS DECIMAL(28,2))"),
+    _ingested("shop", "resolved", "net"),
+    *[f"SELECT '{n}', 1, NULL, NULL" for n in ("page_read_summary", "page_read_detail", "unknown layout")],
+]
+_ALL_FACTS = {
+    **_SHARED, **_PAGE_READS, **_STATEMENTS, **_SHOP_CTES, **{f"in_{n}": sql for n, sql in FACTS.items()},
+    **{f"out_{n}": _converted(f"in_{n}") for n in FACTS}, "memberships": _MEMBERSHIPS,
+}
+
 ORACLES = {
     **{f"normalize_{name}": _channel(name) for name in FACTS},
     "normalize_memberships": _MEMBERSHIPS,
@@ -178,12 +204,8 @@ ORACLES = {
         SELECT series, canonical_work_slug, edition_format, CAST(year(sale_date) AS INTEGER) AS year, count(*) AS n,
                CAST(sum(units) AS BIGINT) AS units, CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(net) AS DOUBLE) AS net
         FROM resolved GROUP BY 1, 2, 3, 4""",
-    "build_warehouse": ctes(
-        "catalog", "fx_rates", **_SHARED, **_PAGE_READS, **_STATEMENTS, **_SHOP_CTES,
-        **{f"in_{n}": sql for n, sql in FACTS.items()},
-        **{f"out_{n}": _converted(f"in_{n}") for n in FACTS},
-        memberships=_MEMBERSHIPS,
-    ) + f"""
+    "ingest_folder": ctes("catalog", "fx_rates", **_ALL_FACTS) + " UNION ALL ".join(_INGESTED),
+    "build_warehouse": ctes("catalog", "fx_rates", **_ALL_FACTS) + f"""
         SELECT 'fact_sales' AS table_name, count(*) AS row_count, {m2('sum(usd)')} AS measure_total
         FROM (SELECT usd FROM out_audio_monthly UNION ALL SELECT usd FROM out_audio_crosstab UNION ALL SELECT usd FROM out_ebook_sales)
         {' '.join(f"UNION ALL SELECT '{t}', count(*), {m2('sum(usd)')} FROM out_{n}" for t, n in _WAREHOUSE_FACTS.items())}
