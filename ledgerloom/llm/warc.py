@@ -23,6 +23,7 @@ from ledgerloom.scale import durable, scratch_path
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
+READ_TASKS = 20_000
 READ_BYTES = 1 << 20
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -183,7 +184,9 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                         [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)],
                         schema=target)
 
-    spread = archives.select("archive", "records").repartition(F.col("archive"))
+    # A stated number: rows this small would otherwise be put together into one task.
+    tasks = max(1, min(archives.count(), READ_TASKS))
+    spread = archives.select("archive", "records").repartition(tasks)
     return spread.mapInArrow(run, schema)
 
 
