@@ -21,11 +21,14 @@ from ledgerloom.llm.words import map_batches
 from ledgerloom.scale import durable
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Training documents the piece probabilities are fitted on (drawn by hash; priors cover all of them).
+#: About so many different training texts the piece probabilities are fitted on, each weighted by its copies
+#: (drawn by hash, an equal share for each language; priors cover all training rows).
 FIT_ROWS = 8_000
 ROUNDS = 2
-#: Longer words are summed in parts of this many characters.
-LONGEST = 48
+#: Characters summed at a time; a longer word hands its last sums, rescaled, to its next slice.
+SLICE = 24
+#: Characters of the words that are summed together.
+_BLOCK = 100_000
 #: Probability of a character that is no piece, the same in every language.
 UNKNOWN = 1e-5
 _WORDS_HELD = 300_000
@@ -44,7 +47,7 @@ class Vocabulary:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         children: dict[int, int] = {}
-        pieces, self.size = [-1], 0
+        pieces, self.size, self.longest = [-1], 0, 1
         for i in range(model.get_piece_size()):
             if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
                 continue
@@ -56,6 +59,7 @@ class Vocabulary:
                     pieces.append(-1)
             pieces[state] = self.size
             self.size += 1
+            self.longest = max(self.longest, len(model.id_to_piece(i)))
         self.keys = np.array(sorted(children), dtype=np.int64)
         self.states = np.array([children[k] for k in self.keys.tolist()], dtype=np.int64)
         self.pieces = np.array(pieces, dtype=np.int64)
@@ -107,14 +111,13 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def parts(word: str) -> list[str]:
-    marked = "▁" + word
-    return [marked[i : i + LONGEST] for i in range(0, len(marked), LONGEST)]
+def marked(word: str) -> str:
+    return "▁" + word
 
 
 def _sweep(table: np.ndarray, rows: np.ndarray, to: np.ndarray, source: np.ndarray, factor: np.ndarray,
            positions) -> np.ndarray:
-    """Fill ``table[row, to]`` with the sums of ``table[row, source] * factor``, one position after another."""
+    """Add to ``table[row, to]`` the sums of ``table[row, source] * factor``, one position after another."""
     order = np.lexsort((rows, to))
     rows, to, source, factor = rows[order], to[order], source[order], factor[order]
     for at in positions:
@@ -122,44 +125,85 @@ def _sweep(table: np.ndarray, rows: np.ndarray, to: np.ndarray, source: np.ndarr
         if low < high:
             row = rows[low:high]
             cut = np.flatnonzero(np.diff(row, prepend=-1))
-            table[row[cut], at] = np.add.reduceat(table[row, source[low:high]] * factor[low:high], cut, axis=0)
+            table[row[cut], at] += np.add.reduceat(table[row, source[low:high]] * factor[low:high], cut, axis=0)
     return table
 
 
-def forward(lattice, count: int, probability: np.ndarray) -> np.ndarray:
-    """``alpha[word, position, language]``: summed probability of all segmentations up to the position."""
-    word, start, end, piece = lattice
-    width = int(end.max(initial=0)) + 1
-    alpha = np.zeros((count, width, probability.shape[1]))
-    alpha[:, 0] = 1.0
-    return _sweep(alpha, word, end, start, probability[piece], range(1, width))
+def _blocks(words: list[str]) -> Iterator[np.ndarray]:
+    """Positions of words of like length, in blocks of about ``_BLOCK`` characters (one word at least)."""
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    order = np.argsort(lengths, kind="stable")
+    begin = 0
+    while begin < len(order):
+        end = begin + 1
+        while end < len(order) and end - begin < 4096 and lengths[order[end]] * (end + 1 - begin) <= _BLOCK:
+            end += 1
+        yield order[begin:end]
+        begin = end
 
 
-def backward(lattice, lengths: np.ndarray, probability: np.ndarray) -> np.ndarray:
-    """``beta[word, position, language]``: summed probability of all segmentations from the position on."""
-    word, start, end, piece = lattice
-    width = int(end.max(initial=0)) + 1
-    beta = np.zeros((len(lengths), width, probability.shape[1]))
-    beta[np.arange(len(lengths)), lengths] = 1.0
-    return _sweep(beta, word, start, end, probability[piece], range(width - 1, -1, -1))
+def sliced_forward(
+    held: Vocabulary, words: list[str], probability: np.ndarray, langs: np.ndarray | None = None, kept: list | None = None
+) -> np.ndarray:
+    """Log of the sum over all segmentations of each word, per language, or of its own language in ``langs``.
+
+    The sums run over slices of ``SLICE`` starts.  A piece may end beyond its slice, so the sums of the next
+    ``longest`` positions are handed on, divided by their largest.  ``kept`` collects what :func:`sliced_counts`
+    needs of each slice.
+    """
+    width, lengths = held.longest, np.array([len(w) for w in words], dtype=np.int64)
+    count = probability.shape[1] if langs is None else 1
+    carry, scale = np.zeros((len(words), width, count)), np.zeros((len(words), count))
+    carry[:, 0] = 1.0
+    out = np.zeros((len(words), count))
+    for begin in range(0, int(lengths.max(initial=0)), SLICE):
+        live = np.flatnonzero(lengths > begin)
+        edges = held.lattice([words[i][begin : begin + SLICE + width - 1] for i in live])
+        number, start, end, piece = (x[edges[1] < SLICE] for x in edges)
+        factor = probability[piece] if langs is None else probability[piece, langs[live][number]][:, None]
+        table = np.zeros((len(live), SLICE + width, count))
+        table[:, :width] = carry[live]
+        _sweep(table, number, end, start, factor, range(1, SLICE + width))
+        if kept is not None:
+            kept.append((begin, live, (number, start, end, piece), factor, table, scale[live]))
+        rest = lengths[live] - begin
+        ends, goes = np.flatnonzero(rest <= SLICE), np.flatnonzero(rest > SLICE)
+        out[live[ends]] = np.log(np.maximum(table[ends, rest[ends]], 1e-300)) + scale[live[ends]]
+        top = np.maximum(table[goes, SLICE:].max(axis=1), 1e-300)
+        carry[live[goes]] = table[goes, SLICE:] / top[:, None]
+        scale[live[goes]] += np.log(top)
+    return out
+
+
+def sliced_counts(
+    held: Vocabulary, words: list[str], langs: np.ndarray, probability: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(word, piece, expected uses) over all segmentations of each word in its language, slice by slice from the end."""
+    kept: list = []
+    total = sliced_forward(held, words, probability, langs, kept)[:, 0]
+    width, lengths = held.longest, np.array([len(w) for w in words], dtype=np.int64)
+    carry, scale = np.zeros((len(words), width, 1)), np.zeros(len(words))
+    while kept:
+        begin, live, (number, start, end, piece), factor, alpha, before = kept.pop()
+        rest = lengths[live] - begin
+        beta = np.zeros_like(alpha)
+        beta[:, SLICE:] = carry[live]
+        ends = np.flatnonzero(rest <= SLICE)
+        beta[ends, rest[ends]] = 1.0
+        _sweep(beta, number, start, end, factor, range(SLICE - 1, -1, -1))
+        share = alpha[number, start, 0] * factor[:, 0] * beta[number, end, 0]
+        yield live[number], piece, share * np.exp(before[:, 0] + scale[live] - total[live])[number]
+        top = np.maximum(beta[:, :width].max(axis=1), 1e-300)
+        carry[live] = beta[:, :width] / top[:, None]
+        scale[live] += np.log(top[:, 0])
 
 
 def log_sums(held: Vocabulary, words: list[str], probability: np.ndarray) -> np.ndarray:
     """Log of the forward sum of each word, per language."""
-    pieces, owner = [], []
-    for number, word in enumerate(words):
-        for part in parts(word):
-            pieces.append(part)
-            owner.append(number)
+    pieces = [marked(word) for word in words]
     out = np.zeros((len(words), probability.shape[1]))
-    lengths = np.array([len(p) for p in pieces], dtype=np.int64)
-    owner = np.array(owner, dtype=np.int64)
-    order = np.argsort(lengths, kind="stable")  # words of like length share a table
-    for begin in range(0, len(order), 4096):
-        block = order[begin : begin + 4096]
-        alpha = forward(held.lattice([pieces[i] for i in block]), len(block), probability)
-        total = alpha[np.arange(len(block)), lengths[block]]
-        np.add.at(out, owner[block], np.log(np.maximum(total, 1e-300)))
+    for block in _blocks(pieces):
+        out[block] = sliced_forward(held, [pieces[i] for i in block], probability)
     return out
 
 
@@ -169,8 +213,10 @@ def words_of(text: bytes) -> list[bytes]:
 
 def _word_counts(batch: pa.RecordBatch) -> dict:
     totals: dict[str, Counter] = {}
-    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-        totals.setdefault(lang, Counter()).update(words_of(text))
+    for lang, text, copies in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "copies")), strict=True):
+        held = totals.setdefault(lang, Counter())
+        for word, n in Counter(words_of(text)).items():
+            held[word] += n * copies
     rows = [(lang, word.decode("utf-8", "replace"), n) for lang, c in totals.items() for word, n in c.items()]
     return dict(zip(("lang", "word", "n"), map(list, zip(*rows, strict=True)), strict=True)) if rows else None
 
@@ -184,19 +230,10 @@ def _expected(path: str, languages: list[str], shared):
         counts = np.asarray(batch.column("n"), dtype=np.float64)
         totals = np.zeros((held.size + 1, len(languages)))
         words = batch.column("word").to_pylist()
-        listed = [(part, k) for k, word in enumerate(words) for part in parts(word)]
-        listed.sort(key=lambda x: len(x[0]))
-        for begin in range(0, len(listed), 2048):
-            block = listed[begin : begin + 2048]
-            lengths = np.array([len(p) for p, _ in block], dtype=np.int64)
-            rows = np.array([k for _, k in block], dtype=np.int64)
-            lattice = held.lattice([p for p, _ in block])
-            alpha, beta = forward(lattice, len(block), probability), backward(lattice, lengths, probability)
-            word, start, end, piece = lattice
-            lang = langs[rows][word]
-            total = alpha[np.arange(len(block)), lengths, langs[rows]]
-            share = alpha[word, start, lang] * probability[piece, lang] * beta[word, end, lang]
-            np.add.at(totals, (piece, lang), share * (counts[rows] / np.maximum(total, 1e-300))[word])
+        pieces = [marked(word) for word in words]
+        for block in _blocks(pieces):
+            for word, piece, expected in sliced_counts(held, [pieces[i] for i in block], langs[block], probability):
+                np.add.at(totals, (piece, langs[block][word]), expected * counts[block][word])
         piece, lang = np.nonzero(totals)
         return {"piece": piece, "lang": [languages[k] for k in lang], "expected": totals[piece, lang]}
 
@@ -206,14 +243,17 @@ def _expected(path: str, languages: list[str], shared):
 def fit(training: DataFrame, path: str, fit_rows: int = FIT_ROWS, rounds: int = ROUNDS) -> dict | None:
     """Languages, their priors over all training rows and piece probabilities; ``None`` without training rows."""
     spark = training.sparkSession
-    seen = {r["lang"]: r["n"] for r in training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = F.approx_count_distinct(F.xxhash64("text"))
+    sizes = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), texts.alias("texts")).collect()
+    seen, different = {r["lang"]: r["n"] for r in sizes}, {r["lang"]: r["texts"] for r in sizes}
     if not seen:
         return None
     languages, total = sorted(seen), sum(seen.values())
-    # Each language gives its share of the sample, and a rare one up to fit_rows / languages rows.
+    # A language of no more texts than its share is taken whole; a text with many copies is one row of the sample.
     each = fit_rows / len(languages)
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, int(1_000_003 * min(1.0, each / seen[k])) + 1)])
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, int(1_000_003 * min(1.0, each / max(1, different[k]))) + 1)])
     drawn = training.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < share[F.col("lang")])
+    drawn = drawn.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies"))
     counts = durable(
         map_batches(drawn, "lang string, word string, n long", _word_counts)
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))

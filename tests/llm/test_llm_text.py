@@ -225,10 +225,61 @@ def test_forward_sums_every_segmentation():
             return 1.0 if at == len(word) else sum(
                 probability[p, lang] * total(e, lang) for _, s, e, p in edges if s == at)
 
-        lattice = held.lattice(["▁x", word])
-        alpha = langid.forward(lattice, 2, probability)[1, len(word)]
-        beta = langid.backward(lattice, np.array([2, len(word)]), probability)[1, 0]
-        assert np.allclose(alpha, [total(0, 0), total(0, 1)]) and np.allclose(beta, alpha)
+        got = langid.sliced_forward(held, ["▁x", word], probability)[1]
+        assert np.allclose(np.exp(got), [total(0, 0), total(0, 1)])
+
+
+def _logs_and_counts(held, word, probability):
+    """Log sum and expected piece counts of a word by plain recurrences over positions, in logarithms."""
+    edges = list(zip(*(x.tolist() for x in held.lattice([word])[1:]), strict=True))
+    ends, starts = {}, {}
+    for start, end, piece in edges:
+        ends.setdefault(end, []).append((start, piece))
+        starts.setdefault(start, []).append((end, piece))
+    alpha, beta = {0: 0.0}, {len(word): 0.0}
+    for at in range(1, len(word) + 1):
+        alpha[at] = np.logaddexp.reduce([alpha[s] + np.log(probability[p]) for s, p in ends[at]])
+    for at in range(len(word) - 1, -1, -1):
+        beta[at] = np.logaddexp.reduce([beta[e] + np.log(probability[p]) for e, p in starts[at]])
+    counts = {}
+    for start, end, piece in edges:
+        share = np.exp(alpha[start] + np.log(probability[piece]) + beta[end] - alpha[len(word)])
+        counts[piece] = counts.get(piece, 0.0) + share
+    return alpha[len(word)], counts
+
+
+def test_long_words_are_summed_whole():
+    held = langid.vocabulary(langid.default_vocabulary())
+    rng = np.random.default_rng(3)
+    probability = rng.random((held.size + 1, 2)) ** 3 * 1e-6 + 1e-9
+    letters = np.array(list("aeinrst国語の😀"))
+    words = ["▁" + "".join(rng.choice(letters, n)) for n in (1, 22, 23, 24, 25, 47, 48, 49, 100, 500)]
+    words += ["▁" + "international" * 40, "▁"]
+    langs = np.array([k % 2 for k in range(len(words))])
+    plain = [[_logs_and_counts(held, w, probability[:, k]) for k in (0, 1)] for w in words]
+    got = langid.log_sums(held, [w[1:] for w in words], probability)
+    assert np.allclose(got, [[a[0], b[0]] for a, b in plain], rtol=1e-9)
+    found = [{} for _ in words]
+    for word, piece, share in langid.sliced_counts(held, words, langs, probability):
+        for w, p, x in zip(word.tolist(), piece.tolist(), share.tolist(), strict=True):
+            found[w][p] = found[w].get(p, 0.0) + x
+    for w in range(len(words)):
+        counts = plain[w][langs[w]][1]
+        keys = set(counts) | set(found[w])
+        assert np.allclose([found[w].get(k, 0) for k in keys], [counts.get(k, 0) for k in keys], rtol=1e-6, atol=1e-12)
+
+
+def test_language_sample_by_different_texts(spark):
+    """A text with many copies takes one place of the sample, and a language of one text is not left out."""
+    rows = [("en", b"the house and the garden")] * 300 + [("en", f"word{k} and the other".encode()) for k in range(40)]
+    rows += [("de", "das haus und der garten".encode())]
+    training = spark.createDataFrame(rows, "lang string, text binary")
+    model = langid.fit(training, langid.default_vocabulary(), fit_rows=20)
+    assert model["languages"] == ["de", "en"] and np.allclose(np.exp(model["prior"]), [1 / 341, 340 / 341])
+    held = langid.vocabulary(langid.default_vocabulary())
+    german, english = np.diff(langid.log_sums(held, ["garten", "garden"], model["probability"]), axis=1)[:, 0]
+    assert german < 0 or english > german
+    assert not np.allclose(model["probability"][:held.size, 0], 1 / held.size)
 
 
 def test_language_held_out(spark, sf_dir):
