@@ -92,9 +92,15 @@ def regional_share(sales: DataFrame, amount: str = "royalty_amount") -> DataFram
     )
 
 
-def yoy_by_month(sales: DataFrame, years: list[int], amount: str = "royalty_amount") -> DataFrame:
-    """Month-of-year rows with one revenue column per year and the growth between neighbours."""
+def yoy_by_month(sales: DataFrame, years: list[int] | None = None, amount: str = "royalty_amount") -> DataFrame:
+    """Month-of-year rows with one revenue column per year and the growth between neighbours.
+
+    Without ``years`` all years with sales are shown; finding them reads the dates once more.
+    """
     year = F.year("sale_date")
+    if years is None:
+        found = sales.select(year.alias("y")).where(F.col("y").isNotNull()).distinct()
+        years = sorted(row.y for row in found.toLocalIterator())
     sums = sales.groupBy(F.month("sale_date").alias("m")).agg(
         *[F.sum(F.when(year == y, F.col(amount)).otherwise(F.lit(0))).alias(f"y{y}") for y in years]
     )

@@ -23,7 +23,7 @@ REVENUE = {
     "monthly_by_channel": _sales(revenue.monthly_by_channel),
     "series_performance": _sales_products(revenue.series_performance, positive_only=True),
     "regional_share": _on(t.sales, "region")(revenue.regional_share),
-    "yoy_by_month": _sales(revenue.yoy_by_month, years=[1998, 1999, 2000]),
+    "yoy_by_month": _sales(revenue.yoy_by_month),
     "top_titles": _sales_products(revenue.top_titles),
     "best_months": _sales(revenue.best_months),
     "distributor_breakdown": _on(t.statements)(revenue.distributor_breakdown),

@@ -2,7 +2,7 @@
 
 from oracles.facts import ctes, m2, ratio, ratio_dec, usd
 
-YEARS = (1998, 1999, 2000)
+YEARS = tuple(range(1995, 2002))  # all years of the sales
 CHANNELS = ("audio_store", "book_store", "page_reads", "memberships", "web_shop", "wide_audio")
 _MONTH_NAMES = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec']"
 
@@ -39,7 +39,7 @@ ORACLES = {
     "yoy_by_month": ctes("sales") + f"""
         SELECT strftime(sale_date, '%m') AS month,
                {', '.join(f'{m2(_year_sum(y))} AS revenue_{y}' for y in YEARS)},
-               {_growth(1998, 1999)}, {_growth(1999, 2000)}
+               {', '.join(_growth(a, b) for a, b in zip(YEARS, YEARS[1:]))}
         FROM sales GROUP BY 1""",
     "top_titles": ctes("sales") + f"""
         SELECT canonical_work_slug, min(series) AS series, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
