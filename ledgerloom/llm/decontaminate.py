@@ -3,14 +3,16 @@
 Documents and benchmark items are TF-IDF vectors of hashed words; document frequencies cover all documents.
 A randomised singular value decomposition of the benchmark passages gives latent spaces: Gaussian test
 vectors that any task can make again from a seed, power rounds as grouped sums in Spark, and small dense algebra
-of ``RANK`` columns on the driver.  A space holds at most ``RANK`` items, so that it keeps each of them whole,
-however many items there are.  Every window of every document is projected by running sums, and windows
-whose cosine with an item passes ``COSINE`` are candidates.  The cosine keeps the norm of the whole window, so a
-window of other words is far from every item.  An item of words that many documents have weighs little beside rare
-words around it, whatever its cosine; so windows that hold ``COVERED`` of an item's words are candidates too, and
-below ``COSINE`` their words must stand as close.  A candidate is contaminated if the longest common subsequence
-of words covers enough of the item and of its answer (a column, or else the item's last quarter), which finds
-paraphrases with words changed, left out or put in.
+on the driver.  A space has half as many columns as items (``RANK`` at most), so words that occur together share
+columns.  Every window of every document is projected by running sums; it is a candidate for the items whose
+projection it meets with ``COSINE`` of the cosine that the item itself would have, and with a cosine of ``COSINE``
+within the space.  The first keeps the norm of the whole window, so a window of other words is far from every item.
+
+Rare words around an item of common words hide it from any cosine, so near copies have a path of their own: a run
+that holds ``COVERED`` of an item's words holds a known number of the item's rarest words.  Postings of those words
+alone give the places where so many stand close; no item is tested against text without them.  A candidate is
+contaminated if the longest common subsequence of words covers enough of the item and of its answer (a column, or
+else the item's last quarter), which finds paraphrases with words changed, left out or put in.
 """
 
 from __future__ import annotations
@@ -29,12 +31,19 @@ from ledgerloom.llm.words import id_and_bytes, map_batches, mix, word_ids
 from ledgerloom.scale import durable
 
 BITS = 18
-RANK = 256
+#: Columns of a latent space, at most.
+RANK = 128
+#: Items of a latent space.
+SPACE_ITEMS = 256
 #: Latent spaces of one pass over the documents; more items take more passes.
 SPACES = 8
+#: Words of a pass's items, but for one longer item alone: with ``RANK`` floats a word its model has 64 MB at most.
+PASS_WORDS = 1 << 17
 POWER_ROUNDS = 2
 COSINE = 0.5
 COVERED = 0.7
+#: Part of an item's words that a near copy must have among the item's rarest.
+RARE = 0.25
 ANSWER = 0.5
 #: Weight of a term that every document has.
 FLOOR = 0.1
@@ -181,17 +190,17 @@ def common_subsequence(item: list, part: list) -> list[bool]:
 
 
 def _sums(space: dict, ids: np.ndarray, block: np.ndarray, total: int) -> np.ndarray:
-    """Running sums over blocks of the words' rows: latent columns, then per item whether it has the word."""
+    """Running sums over blocks of the words' rows in latent space, a row for each column."""
     row = space["row_of"][ids]
     known = np.flatnonzero(row >= 0)
-    sums = np.zeros((total + 1, space["columns"].shape[1]), dtype=np.float32)
-    if len(known):
-        cut = np.flatnonzero(np.diff(block[known], prepend=-1))
-        sums[block[known][cut] + 1] = np.add.reduceat(space["columns"][row[known]], cut, axis=0)
-    return np.cumsum(sums, axis=0, out=sums)
+    row, block = row[known], block[known]
+    sums = np.zeros((len(space["columns"]), total + 1))
+    for at, column in enumerate(space["columns"]):
+        np.cumsum(np.bincount(block, weights=column[row], minlength=total), out=sums[at, 1:])
+    return sums
 
 
-def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int, int, int, float]]:
+def _latent(model: dict, documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, float]]:
     """Candidates ``(document, item, from, to, cosine)``, in words, of the terms of several documents.
 
     The documents are laid out in blocks of ``BLOCK`` words with empty blocks between them, so that no window
@@ -206,53 +215,112 @@ def _candidates(model: dict, documents: list[np.ndarray]) -> list[tuple[int, int
     place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     block = np.repeat(first, lengths) + place // BLOCK
     norm = np.bincount(block, weights=model["idf"][ids].astype(np.float64) ** 2, minlength=total)
-
     norms = np.concatenate(([0.0], np.cumsum(norm)))
-    out = []
     for space in model["spaces"]:
         sums = _sums(space, ids, block, total)
-        rank = model["vectors"].shape[1]
         for width in np.unique(model["blocks"][space["items"]]).tolist():
             items = space["items"][model["blocks"][space["items"]] == width]
             length = np.sqrt(np.maximum(norms[width:] - norms[:-width], FLOOR**2))
-            cosine = (sums[width:, :rank] - sums[:-width, :rank]) @ model["vectors"][items].T
-            has = rank + items - space["items"][0]
-            held = sums[width:, has] - sums[:-width, has]
-            window, item = np.nonzero((cosine >= COSINE * length[:, None]) | (held >= model["least"][items]))
+            part = sums[:, width:] - sums[:, :-width]
+            # No cosine is above the window's own share in the space.
+            least = (COSINE * model["kept"][items].min() * length) ** 2
+            own = np.einsum("ij,ij->j", part, part)
+            near = np.flatnonzero(own >= least * (1 - 1e-9))
+            cosine = part[:, near].T @ model["vectors"][items, : len(part)].T / length[near, None]
+            inside = COSINE * np.sqrt(own[near]) / length[near]
+            window, item = np.nonzero(cosine >= np.maximum(inside[:, None], COSINE * model["kept"][items]))
+            found, window = cosine[window, item], near[window]
             owner = np.searchsorted(first - gap, window, side="right") - 1
             # A window that begins in the gap before the next document belongs to that document.
             owner += (window + width > first[np.minimum(owner + 1, len(first) - 1)]) & (owner + 1 < len(first)) & (
                 window >= first[owner] + rooms[owner] - gap)
-            begin = (window - first[owner]) * BLOCK
-            for d, i, s, w in zip(owner.tolist(), items[item].tolist(), begin.tolist(), range(len(window)), strict=True):
-                out.append((d, i, max(0, s), min(int(lengths[d]), s + width * BLOCK),
-                            float(cosine[window[w], item[w]] / length[window[w]])))
-    return out
+            begin = np.maximum(0, (window - first[owner]) * BLOCK - 2)
+            end = np.minimum(lengths[owner], (window - first[owner] + width) * BLOCK + 2)
+            yield from zip(*(x.tolist() for x in (owner, items[item], begin, end, found)), strict=True)
+
+
+def _near_copies(model: dict, documents: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches ``(document, item, from, to)`` that can hold a run with ``COVERED`` of the item's words.
+
+    The places of the items' rarest words are sorted by item and place; where as many as a near copy must have
+    stand within one run, every run over them belongs to the stretch.
+    """
+    rare = model["rare"]
+    lengths = np.array([len(d) for d in documents])
+    ids = np.concatenate(documents)
+    # Documents stand further apart than any run is long.
+    first = np.cumsum(lengths + int(rare["room"].max())) - lengths
+    place = np.arange(len(ids)) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+    known = np.flatnonzero(rare["count"][ids])
+    n = rare["count"][ids[known]]
+    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    item = rare["items"][np.repeat(rare["from"][ids[known]], n) + inner]
+    both = np.sort(item.astype(np.int64) << 40 | np.repeat(place[known], n))
+    item, place = both >> 40, both & ((1 << 40) - 1)
+    last = np.arange(len(item)) + rare["least"][item] - 1
+    inside = np.flatnonzero(last < len(item))
+    last = last[inside]
+    close = (item[last] == item[inside]) & (place[last] - place[inside] < rare["room"][item[inside]])
+    inside, last = inside[close], last[close]
+    if not len(inside):
+        return
+    item, room = item[inside], rare["room"][item[inside]]
+    begin, end = place[last] - room + 1, place[inside] + room
+    new = np.flatnonzero((np.diff(item, prepend=-1) != 0) | (begin > np.concatenate(([-1], end[:-1]))))
+    begin, end, item = begin[new], end[np.append(new[1:], len(end)) - 1], item[new]
+    # The stretch's first known place tells its document.
+    owner = np.searchsorted(first, place[inside[new]], side="right") - 1
+    begin, end = np.maximum(0, begin - first[owner]), np.minimum(lengths[owner], end - first[owner])
+    yield from zip(*(x.tolist() for x in (owner, item, begin, end)), strict=True)
 
 
-def _groups(sizes: list[int]) -> list[list[int]]:
-    """Consecutive documents of about ``GROUP_WORDS`` words; a longer one is a group of its own."""
-    groups, held = [[]], 0
+def _groups(sizes: list[int], overlap: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Slices ``(document, from, to)`` of about ``GROUP_WORDS`` words together.
+
+    A longer document is cut into slices of so many words and ``overlap`` more, each a group of its own.
+    """
+    group, held = [], 0
     for k, size in enumerate(sizes):
+        if size > GROUP_WORDS + overlap:
+            yield from ([(k, b, min(size, b + GROUP_WORDS + overlap))] for b in range(0, size - overlap, GROUP_WORDS))
+            continue
         if held and held + size > GROUP_WORDS:
-            groups.append([])
-            held = 0
-        groups[-1].append(k)
-        held += size
-    return groups
+            yield group
+            group, held = [], 0
+        if size:
+            group.append((k, 0, size))
+            held += size
+    if group:
+        yield group
+
 
+def _runs(wanted: list[bytes], part: list[bytes], counts: Counter) -> Iterator[tuple[int, list[bytes]]]:
+    """``(start, run)`` of ``part`` in which ``COVERED`` of the item's words can stand close.
 
-def _runs(wanted: list[bytes], part: list[bytes], counts: Counter, cosine: float) -> list[list[bytes]]:
-    """What a candidate is compared by: the window, or below ``COSINE`` its runs in which the words stand close."""
-    if cosine >= COSINE:
-        return [part]
-    held = Counter(part)
-    if sum(min(n, held[w]) for w, n in counts.items()) < COVERED * len(wanted):
-        return []
-    if sum(common_subsequence(wanted, part)) < COVERED * len(wanted):
-        return []
-    room = int(len(wanted) / COVERED)
-    return [part[k : k + room] for k in range(max(1, len(part) - room + 1))]
+    A run that starts with a word which the item has not got holds no more than the next one.
+    """
+    room, least = int(len(wanted) / COVERED), COVERED * len(wanted)
+    has = [w in counts for w in part]
+    held = sum(has[:room])
+    for k in range(len(part)):
+        if has[k] and held >= least:
+            run = part[k : k + room]
+            own = Counter(run)
+            if sum(min(n, own[w]) for w, n in counts.items()) >= least:
+                yield k, run
+        held += (has[k + room] if k + room < len(part) else 0) - has[k]
+
+
+def _compare(model: dict, item: int, run: list[bytes]) -> tuple[float, float] | None:
+    """Shares of the item and of its answer in the longest common subsequence, if both are enough."""
+    wanted, counts, answer = model["words"][item], model["counts"][item], model["answers"][item]
+    # No subsequence is longer than the item's words that the run has at all.
+    if sum(map(counts.get, counts.keys() & set(run))) < COVERED * len(wanted):
+        return None
+    covered = common_subsequence(wanted, run)
+    share = sum(covered) / len(wanted)
+    asked = sum(covered[w] for w in answer) / len(answer) if answer else 1.0
+    return (share, asked) if share >= COVERED and asked >= ANSWER else None
 
 
 def _search(shared):
@@ -263,21 +331,23 @@ def _search(shared):
         docs, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         split = [words_of(text) for text in batch.column("text").to_pylist()]
         best: dict[tuple, tuple] = {}
-        for group in _groups([len(words) for words in split]):
-            group = [k for k in group if split[k]]
-            for at, item, start, end, cosine in _candidates(model, [terms(split[k]) for k in group]) if group else ():
-                k, wanted, answer = group[at], model["words"][item], model["answers"][item]
-                part = split[k][max(0, start - 2) : end + 2]
-                # No subsequence is longer than the item's words that the window has at all.
-                counts = model["counts"][item]
-                if sum(map(counts.get, counts.keys() & set(part))) < COVERED * len(wanted):
-                    continue
-                for run in _runs(wanted, part, counts, cosine):
-                    covered = common_subsequence(wanted, run)
-                    share = sum(covered) / len(wanted)
-                    asked = sum(covered[w] for w in answer) / len(answer) if answer else 1.0
-                    if share >= COVERED and asked >= ANSWER:
-                        best[k, item] = max(best.get((k, item), (0.0,)), (share, asked, cosine, start, end))
+        for group in _groups([len(words) for words in split], model["overlap"]):
+            parts = [split[k][b:e] for k, b, e in group]
+            numbers = [terms(part) for part in parts]
+            for at, item, start, end, cosine in _latent(model, numbers):
+                shares = _compare(model, item, parts[at][start:end])
+                if shares:
+                    k, begin, _ = group[at]
+                    best[k, item] = max(best.get((k, item), (0.0,)), (*shares, cosine, begin + start, begin + end))
+            for at, item, start, end in _near_copies(model, numbers):
+                k, begin, _ = group[at]
+                for first, run in _runs(model["words"][item], parts[at][start:end], model["counts"][item]):
+                    if best.get((k, item), (0.0, 0.0))[:2] == (1.0, 1.0):
+                        break
+                    shares = _compare(model, item, run)
+                    if shares:
+                        place = begin + start + first
+                        best[k, item] = max(best.get((k, item), (0.0,)), (*shares, 0.0, place, place + len(run)))
         for (k, item), (share, asked, cosine, start, end) in best.items():
             values = (docs[k], rows[k], model["items"][item], cosine, share, asked, start, end)
             for name, value in zip(names, values, strict=True):
@@ -314,46 +384,89 @@ def build(docs: DataFrame, benchmark: DataFrame, max_items: int = 200_000) -> It
     table.sort(key=lambda x: (len(x[1]), x[0]["item_id"]))
     frequency, total = document_frequencies(docs)
     idf = inverse_frequencies(frequency, total)
-    size = RANK * SPACES
-    for begin in range(0, len(table), size):
-        yield _model(docs.sparkSession, table[begin : begin + size], idf), len(table) <= size
+    passes = _passes([len(words) for _, words in table])
+    for spaces in passes:
+        yield _model(docs.sparkSession, [[table[k] for k in space] for space in spaces], idf), len(passes) == 1
 
 
-def _model(spark: SparkSession, table: list[tuple[Row, list[bytes]]], idf: np.ndarray) -> dict:
-    """Model of at most ``RANK * SPACES`` items, in spaces of at most ``RANK``."""
-    rows = [(r["item_id"], k // RANK, bytearray(r["text"])) for k, (r, _) in enumerate(table)]
-    items = spark.createDataFrame(rows, "item_id long, space int, text binary")
-    names, basis = latent_space(durable(item_vectors(items, spark.sparkContext.broadcast(idf))))
-    words = [split for _, split in table]
-    latent = []
+def _passes(sizes: list[int]) -> list[list[range]]:
+    """Items in order, cut into passes of at most ``SPACES`` spaces and ``PASS_WORDS`` words, if not one item."""
+    passes, spaces, begin, held = [], [], 0, 0
+    for k, size in enumerate(sizes):
+        if k > begin and (k - begin == SPACE_ITEMS or held + size > PASS_WORDS):
+            spaces.append(range(begin, k))
+            begin = k
+        if spaces and begin == k and (len(spaces) == SPACES or held + size > PASS_WORDS):
+            passes.append(spaces)
+            spaces, held = [], 0
+        held += size
+    return [*passes, [*spaces, range(begin, len(sizes))]]
+
+
+def _rare_words(words: list[list[bytes]], idf: np.ndarray) -> dict:
+    """Postings of each item's rarest terms, and per item how many of them a near copy has at least.
+
+    A run with ``COVERED`` of the words misses the rest of them; beyond these and ``RARE`` of the words, the
+    item's terms need no postings.
+    """
+    term, item, least = [], [], []
     for k, listed in enumerate(words):
         found, n = np.unique(terms(listed), return_counts=True)
-        at = np.searchsorted(names, k // RANK << BITS | found)
-        latent.append(unit(n * idf[found].astype(np.float64)) @ basis[at])
-    spaces = []
-    for space in range(-(-len(table) // RANK)):
+        order = np.argsort(-idf[found], kind="stable")
+        found, mass = found[order], np.cumsum(n[order])
+        missed = len(listed) - int(np.ceil(COVERED * len(listed) - 1e-6))
+        used = int(np.searchsorted(mass, min(len(listed), missed + max(1, int(RARE * len(listed)))))) + 1
+        term.append(found[:used])
+        item.append(np.full(used, k))
+        least.append(int(mass[used - 1]) - missed)
+    term, item = np.concatenate(term), np.concatenate(item)
+    order = np.argsort(term, kind="stable")
+    count = np.bincount(term, minlength=1 << BITS).astype(np.int32)
+    return {
+        "items": item[order].astype(np.int32), "count": count, "from": np.cumsum(count) - count,
+        "least": np.array(least), "room": np.array([int(len(w) / COVERED) for w in words]),
+    }
+
+
+def _model(spark: SparkSession, parts: list[list[tuple[Row, list[bytes]]]], idf: np.ndarray) -> dict:
+    """Model of the items of some spaces."""
+    table = list(chain.from_iterable(parts))
+    words = [split for _, split in table]
+    rows = [(r["item_id"], space, bytearray(r["text"])) for space, part in enumerate(parts) for r, _ in part]
+    items = spark.createDataFrame(rows, "item_id long, space int, text binary")
+    vectors = durable(item_vectors(items, spark.sparkContext.broadcast(idf)))
+    names, basis = latent_space(vectors, min(RANK, max(1, max(map(len, parts)) // 2)))
+    latent, spaces, begin = [], [], 0
+    for space, part in enumerate(parts):
         own = np.flatnonzero(names >> BITS == space)
+        # A space of fewer items than the largest takes its first columns, which hold most.
+        basis_of = basis[own, : max(1, len(part) // 2)]
         term = names[own] & ((1 << BITS) - 1)
         row_of = np.full(1 << BITS, -1, dtype=np.int32)
         row_of[term] = np.arange(len(own))
-        members = np.arange(space * RANK, min(len(table), (space + 1) * RANK))
-        has = np.zeros((len(own), len(members)))
-        for column, k in enumerate(members.tolist()):
-            has[row_of[terms(words[k])], column] = 1
-        spaces.append({
-            "row_of": row_of, "items": members,
-            "columns": np.hstack([basis[own] * idf[term][:, None], has]).astype(np.float32),
-        })
+        for _, listed in part:
+            found, n = np.unique(terms(listed), return_counts=True)
+            vector = np.zeros(basis.shape[1])
+            vector[: basis_of.shape[1]] = unit(n * idf[found].astype(np.float64)) @ basis_of[row_of[found]]
+            latent.append(vector)
+        columns = np.ascontiguousarray((basis_of * idf[term][:, None]).T, dtype=np.float32)
+        spaces.append({"row_of": row_of, "items": np.arange(begin, begin + len(part)), "columns": columns})
+        begin += len(part)
+    latent = np.array(latent)
+    kept = np.sqrt((latent**2).sum(axis=1))
     lengths = np.array([len(w) for w in words])
+    # So many blocks hold an item wherever it starts.
+    blocks = -(-(lengths - 1) // BLOCK) + 1
+    rare = _rare_words(words, idf)
     return {
-        "spaces": spaces, "idf": idf,
-        "vectors": np.array(latent, dtype=np.float32), "items": [r["item_id"] for r, _ in table], "words": words,
+        "spaces": spaces, "idf": idf, "rare": rare, "blocks": blocks, "words": words,
+        # Directions of the items in their spaces, and the part of each that its space keeps.
+        "vectors": latent / np.maximum(kept, 1e-12)[:, None], "kept": np.maximum(kept, 1e-6),
+        "items": [r["item_id"] for r, _ in table],
         "answers": [_answer(w, r["answer"]) for r, w in table],
         "counts": [Counter(w) for w in words],
-        # So many words of an item make a window a candidate.
-        "least": np.ceil(COVERED * lengths - 1e-6).astype(np.float32),
-        # So many blocks hold an item wherever it starts.
-        "blocks": -(-(lengths - 1) // BLOCK) + 1,
+        # Slices of a long document share whole windows and runs, and whole blocks.
+        "overlap": BLOCK * int(max(blocks.max() + 1, -(-int(rare["room"].max()) // BLOCK))),
     }
 
 

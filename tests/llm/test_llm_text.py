@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import decontaminate, langid, quality
@@ -146,13 +147,88 @@ def test_truncated_space_keeps_recall(leaks):
 def test_more_items_than_rank(spark, monkeypatch, spaces):
     """All verbatim copies are found with items well above the rank, in one pass and in several."""
     monkeypatch.setattr(decontaminate, "SPACES", spaces)
-    items = [(k, " ".join(words(20 + k % 20, 5000 + k))) for k in range(3 * decontaminate.RANK)]
+    items = [(k, " ".join(words(20 + k % 20, 5000 + k))) for k in range(3 * decontaminate.SPACE_ITEMS)]
     docs = [(k, " ".join(words(40, 9000 + k) + items[k][1].split() + words(40, 19000 + k))) for k in range(0, len(items), 3)]
     got = decontaminate.contaminated(
         spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == {(k, k) for k, _ in docs}
 
 
+@pytest.mark.parametrize("n_items", [40, 1000, 2048])
+def test_latent_search_alone(spark, n_items):
+    """Recall of the cosine candidates by themselves: copies and copies with a fifth of the words changed."""
+    items = [words(20 + k % 20, 5000 + k) for k in range(n_items)]
+    docs = []
+    for k in range(0, n_items, max(1, n_items // 100)):
+        changed = list(items[k])
+        for at in range(0, len(changed), 5):
+            changed[at] = f"other{k}x{at}"
+        docs += [(k, words(40, 9000 + k) + part + words(40, 19000 + k)) for part in (items[k], changed)]
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string")
+              for name, rows in (("doc_id", docs), ("item_id", list(enumerate(items))))]
+    (model, alone), = decontaminate.build(*frames)
+    assert alone and all(len(s["columns"]) <= max(1, len(s["items"]) // 2) for s in model["spaces"])
+    split = [[w.encode() for w in doc] for _, doc in docs]
+    found = {(d, model["items"][i]) for d, i, begin, end, _ in decontaminate._latent(model, [decontaminate.terms(w) for w in split])
+             if decontaminate._compare(model, i, split[d][begin:end])}
+    assert sum((d, k) in found for d, (k, _) in enumerate(docs)) >= 0.9 * len(docs)
+
+
+def test_near_copies_against_all_runs(spark):
+    """Every run that holds enough of an item lies in a stretch of the item's rarest words."""
+    random.seed(8)
+    pool = [f"w{k}" for k in range(30)]
+    items = [random.choices(pool, k=random.randint(1, 12)) for _ in range(25)]
+    docs = [random.choices(pool, k=random.randint(1, 60)) for _ in range(40)]
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], f"{name} long, text string")
+              for name, rows in (("doc_id", docs), ("item_id", items))]
+    (model, _), = decontaminate.build(*frames)
+    split = [[w.encode() for w in doc] for doc in docs]
+    found = set()
+    for d, i, begin, end in decontaminate._near_copies(model, [decontaminate.terms(w) for w in split]):
+        runs = decontaminate._runs(model["words"][i], split[d][begin:end], model["counts"][i])
+        if any(decontaminate._compare(model, i, run) for _, run in runs):
+            found.add((d, i))
+    wanted = set()
+    for d, doc in enumerate(split):
+        for i, item in enumerate(model["words"]):
+            room = int(len(item) / decontaminate.COVERED)
+            if any(decontaminate._compare(model, i, doc[k : k + room]) for k in range(len(doc))):
+                wanted.add((d, i))
+    assert found == wanted and len(wanted) > 20
+
+
+def test_long_documents_are_cut_into_slices(spark, monkeypatch):
+    """Leaks anywhere in a document of many slices, over their borders too, are found as in one piece."""
+    item, body = words(30, 71), words(6000, 72)
+    places = [0, 500, 990, 1010, 2985, 4100, 5999]
+    for n, at in enumerate(places):
+        body[at + n * len(item) : at + n * len(item)] = item
+    frames = [spark.createDataFrame([(1, " ".join(w))], f"{name} long, text string")
+              for name, w in (("doc_id", body), ("item_id", item))]
+    (model, _), = decontaminate.build(*frames)
+    shared, got = type("Shared", (), {"value": model}), []
+    for size in (1 << 15, 512, 1000):
+        monkeypatch.setattr(decontaminate, "GROUP_WORDS", size)
+        for k in range(len(places)):
+            end = places[k] + (k + 1) * len(item)
+            doc = body[max(0, end - 400 * (k + 1)) : end]  # that copy ends a document of another length each
+            batch = pa.table({"doc_id": [1], "row": [1], "text": [" ".join(doc).encode()]}).to_batches()[0]
+            got.append((size, k, decontaminate._search(shared)(batch)["lcs_share"]))
+    assert all(shares == [1.0] for _, _, shares in got)
+
+
+def test_passes_are_bounded():
+    """Spaces and passes keep to their numbers of items, spaces and words, and leave no item out."""
+    for sizes in ([3] * 5000, [40_000] * 9, [10, 200_000, 10], [1]):
+        passes = decontaminate._passes(sizes)
+        assert [k for p in passes for space in p for k in space] == list(range(len(sizes)))
+        for spaces in passes:
+            held = [k for space in spaces for k in space]
+            assert 0 < len(spaces) <= decontaminate.SPACES and max(map(len, spaces)) <= decontaminate.SPACE_ITEMS
+            assert sum(sizes[k] for k in held) <= decontaminate.PASS_WORDS or len(held) == 1
+
+
 def test_item_in_a_third_of_the_documents(spark):
     """Words that a leak itself makes common still find every leak, with rare words around it or not."""
     hot, single = " ".join(words(25, 1)), words(22, 2)
