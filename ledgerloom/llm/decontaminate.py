@@ -274,22 +274,23 @@ def _near_copies(model: dict, documents: list[np.ndarray]) -> Iterator[tuple[int
     yield from zip(*(x.tolist() for x in (owner, item, begin, end)), strict=True)
 
 
-def _groups(sizes: list[int], overlap: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Slices ``(document, from, to)`` of about ``GROUP_WORDS`` words together.
+def _groups(texts: Iterator[bytes], overlap: int) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+    """Slices ``(document, first word, words)`` of about ``GROUP_WORDS`` words together; texts are split as they come.
 
     A longer document is cut into slices of so many words and ``overlap`` more, each a group of its own.
     """
     group, held = [], 0
-    for k, size in enumerate(sizes):
-        if size > GROUP_WORDS + overlap:
-            yield from ([(k, b, min(size, b + GROUP_WORDS + overlap))] for b in range(0, size - overlap, GROUP_WORDS))
+    for k, text in enumerate(texts):
+        words = words_of(text)
+        if len(words) > GROUP_WORDS + overlap:
+            yield from ([(k, b, words[b : b + GROUP_WORDS + overlap])] for b in range(0, len(words) - overlap, GROUP_WORDS))
             continue
-        if held and held + size > GROUP_WORDS:
+        if held and held + len(words) > GROUP_WORDS:
             yield group
             group, held = [], 0
-        if size:
-            group.append((k, 0, size))
-            held += size
+        if words:
+            group.append((k, 0, words))
+            held += len(words)
     if group:
         yield group
 
@@ -329,10 +330,10 @@ def _search(shared):
         names = ("doc_id", "row", "item_id", "cosine", "lcs_share", "answer_share", "start", "end")
         out: dict[str, list] = {n: [] for n in names}
         docs, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
-        split = [words_of(text) for text in batch.column("text").to_pylist()]
+        texts = (text.as_py() for text in batch.column("text"))
         best: dict[tuple, tuple] = {}
-        for group in _groups([len(words) for words in split], model["overlap"]):
-            parts = [split[k][b:e] for k, b, e in group]
+        for group in _groups(texts, model["overlap"]):
+            parts = [part for _, _, part in group]
             numbers = [terms(part) for part in parts]
             for at, item, start, end, cosine in _latent(model, numbers):
                 shares = _compare(model, item, parts[at][start:end])
