@@ -55,3 +55,14 @@ def test_fact_range_prunes_months(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*period", plan(chosen))
     day = F.col("sale_date")
     assert chosen.count() == sales.where((day >= "1998-03-10") & (day <= "1998-04-02")).count()
+
+
+def test_dropping_rows_without_a_date_does_not_parse_dates_again(spark):
+    from ledgerloom.operators.shape import drop_null_dates
+    from ledgerloom.plans import layouts
+
+    raw = spark.createDataFrame([("1/2/2025", "3"), ("Total", "4")], "`End Date` string, `Net Unit Sales` string")
+    rows = drop_null_dates(layouts.standardize(raw, layouts.WIDE_EBOOKS))
+    assert [str(r.sale_date) for r in rows.select("sale_date").collect()] == ["2025-01-02"]
+    filters = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert filters and not [line for line in filters if "timestamp" in line.lower()]
