@@ -283,7 +283,8 @@ def fuzzy_title_match(df: DataFrame, catalog: DataFrame, title: str = "book_titl
 
     An equal cleaned title scores 1 and cannot be beaten, so only the others are scored.
     """
-    wanted = df.where(F.col(title).isNotNull()).select(title).distinct()
+    # Looked at three times; the rows they come from, and what it takes to make those, only once.
+    wanted = durable(df.where(F.col(title).isNotNull()).select(title).distinct())
     wanted = wanted.withColumn("clean", clean_title(F.col(title), strip_subtitle=True))
     spellings = _first_spellings(catalog, clean_title(F.col("display_title"), strip_subtitle=True))
     known = broadcast_if_small(spellings.select("clean", "catalog_order"), counted=catalog)
